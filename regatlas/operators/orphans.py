@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from ..functions.lookalike import blank
@@ -22,13 +23,13 @@ def _month(ts: Column) -> Column:
     return F.year(ts) * 12 + F.month(ts) - 1
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _squeeze(bits: pd.Series) -> pd.Series:
     """Deflate bitmaps: most are sparse."""
     return bits.map(lambda b: None if b is None else zlib.compress(bytes(b), 1))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _and_not(refs: pd.Series, parents: pd.Series) -> pd.Series:
     """Positions set in ``refs`` and not in ``parents``."""
 
