@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.lookalike import HARD_SPACES, LETTERS, ZERO_WIDTH
 from ..session import table
-from . import leakage, lookalikes, source_lines
+from . import leakage, lookalikes, residue, source_lines
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,15 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leakage_report(leakage.leaked_items(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p4_found": p4_found, "p4_canonical": p4_canonical, "p7_found": p7_found, "p7_report": p7_report}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(table(spark, sf_dir, "documents")).select("doc_id").distinct()
+
+
+def p8_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p4_found": p4_found, "p4_canonical": p4_canonical, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_reasons": p8_reasons}
 
 _LINES = r"""
 lines AS (
