@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.lookalike import HARD_SPACES, LETTERS, ZERO_WIDTH
 from ..session import table
-from . import leakage, lookalikes, residue, source_lines
+from . import leakage, lookalikes, residue, scan_noise, source_lines
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,14 @@ def p5_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_lines.without_repeated_lines(table(spark, sf_dir, "acme_content_list"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_noise.scan_noise(table(spark, sf_dir, "acme_content_list"))
+
+
+def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_noise.repaired_texts(table(spark, sf_dir, "acme_content_list"))
+
+
 def _p4_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     blocks, records = table(spark, sf_dir, "acme_content_list"), table(spark, sf_dir, "knowledge")
     return {
@@ -53,7 +61,7 @@ def p8_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p4_found": p4_found, "p4_canonical": p4_canonical, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_reasons": p8_reasons}
+QUERIES = {"p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p4_found": p4_found, "p4_canonical": p4_canonical, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_reasons": p8_reasons}
 
 _LINES = r"""
 lines AS (
