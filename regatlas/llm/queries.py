@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.lookalike import HARD_SPACES, LETTERS, ZERO_WIDTH
 from ..session import table
-from . import leakage, lookalikes, residue, scan_noise, source_lines
+from . import leakage, lookalikes, packing, residue, scan_noise, source_lines
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,14 @@ def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.canonical_texts(_p4_sources(spark, sf_dir)).select("src", "row_key", "canonical").distinct()
 
 
+def p6_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_budgets"))
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(p6_assignment(spark, sf_dir), table(spark, sf_dir, "pack_budgets"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents")).select("item_id", "doc_id").distinct()
 
@@ -61,7 +69,7 @@ def p8_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p4_found": p4_found, "p4_canonical": p4_canonical, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_reasons": p8_reasons}
+QUERIES = {"p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p4_found": p4_found, "p4_canonical": p4_canonical, "p6_assignment": p6_assignment, "p6_report": p6_report, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_reasons": p8_reasons}
 
 _LINES = r"""
 lines AS (
