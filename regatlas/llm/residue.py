@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut
 
@@ -15,13 +19,13 @@ PLACEHOLDERS = [
     r"\[(?i:enter|insert|your|add|type|fill in)\b[^\]\n]{1,80}\]", r"\[[^\[\]\n]{1,80} (?i:goes here|here)\]",
 ]
 FILLER = [
-    r"lorem ipsum", r"\bx{2,}(?:\s+x{2,}){3,}", r"sample text goes here", r"replace this paragraph", r"your (?:description|text|title|content) here",
+    r"lorem ipsum", r"\bx{2,}(?: x{2,}){3,}", r"sample text goes here", r"replace this paragraph", r"your (?:description|text|title|content) here",
     r"^\s*add a heading\s*\.?\s*$", r"placeholder text", r"dummy text", r"(?:text|content) (?:goes|comes) here", r"^\W*(?:asdf|qwerty)\b",
     r"hier (?:steht|kommt) (?:ihr|der) text", r"此处(?:填写|插入|输入)", r"示例文本",
 ]
 ERRORS = [
     r"^\W*(?:http )?(?:error )?(?:status )?[45]\d\d\s*[-–:.]?\s*(?:page )?(?:not found|forbidden|unauthori[sz]ed|service unavailable|bad gateway|gateway time-?out|internal server error)",
-    r"^\W*(?:http|error)\s+[45]\d\d\b\s*(?:[-–:.]|$)", r"(?:page|file) not found\s*(?:[.!(|]|$)", r"looked everywhere, but", r"link may be (?:old|broken|mistyped)",
+    r"^\W*(?:http|error) [45]\d\d\b\s*(?:[-–:.]|$)", r"(?:page|file) not found\s*(?:[.!(|]|$)", r"looked everywhere, but", r"link may be (?:old|broken|mistyped)",
     r"no chapter exists at this address", r"has moved or was withdrawn", r"(?:server|portal) could not (?:render|display|find)", r"^\W*(?:please )?try again later",
     r"service unavailable", r"bad gateway", r"upstream server did not answer", r"down for maintenance", r"internal server error", r"too many requests",
     r"wait \d+ seconds and try again", r"^\W*access denied\s*(?:[.!:]|$)", r"^\W*forbidden\s*(?:[.!:]|$)", r"do not have permission to (?:view|access)",
@@ -38,6 +42,17 @@ SCRIPTS = [
     r"active content is switched off", r"\band needs java ?script\s*(?:[.!]|$)", r"(?:manual|page|section|view|browser|chapter|app) cannot start\s*(?:[.!]|$)", r"accept (?:all )?cookies",
     r"skripte benötigt", r"aktivieren sie (?:java ?script|cookies)", r"启用\s*(?:java ?script|cookie|脚本)", r"(?:开启|需要)\s*(?:java ?script|cookie|脚本)", r"включите java ?script",
 ]
+# Literals of which at least one stands in whatever a pattern above matches; cheap to look for.
+PLACEHOLDER_SIGNS = ["{{", "{%", "${", "#{", "<", "[", "@@", "__", "%"]
+FILLER_SIGNS = ["lorem ipsum", "xx xx", " here", "replace this paragraph", "add a heading", "placeholder text", "dummy text", "asdf", "qwerty", "hier steht", "hier kommt", "此处", "示例文本"]
+NOTICE_SIGNS = [
+    "not found", "forbidden", "unauthori", "unavailable", "gateway", "server error", "http 4", "http 5", "error 4", "error 5", "looked everywhere", "link may be", "no chapter exists", "has moved or", "could not",
+    "try again", "upstream server", "down for maintenance", "too many requests", "access denied", "permission to", "request blocked", "was logged", "not available in", "sign in again", "session has",
+    "contact the portal", "back to the start", "incident ", "fatal error", "traceback", "oops", "went wrong", "failed to load", "connection was reset", "please wait", "checking your", "a robot",
+    "zugriff verw", "melden sie", "nicht gefunden", "nicht erreichbar", "vorgang ", "bitte warten", "sitzung ist", "страница", "доступ", "页面", "被拒绝", "拒绝访问", "没有权限", "不可用", "内部错误", "无法访问", "已过期",
+    "请稍", "重新登录", "enable ", "javascript", "java script", "site needs", "site requires", "turn them on", "allow it for", "browser does not", "script support", "noscript", "active content", "cannot start",
+    "accept all cookies", "accept cookies", "skripte", "aktivieren", "启用", "开启", "需要",
+]
 # End of fixed values.
 
 #: Sound words beside its notices that an error page may hold; documents of a host, and their share, whose sound text a recurrent notice line must stand beside to be furniture.
@@ -49,13 +64,37 @@ FILLER_WORDS, FILLER_SHARE, FILLER_LEARN = 8, 0.8, 0.2
 def without_code(text: Column) -> Column:
     """``text`` without fenced listings (an open fence reaches to the end) and inline code."""
     fenced = F.regexp_replace(text, r"(?s)(?:```.*?(?:```|\z)|~~~.*?(?:~~~|\z))", "\n")
-    return F.regexp_replace(fenced, r"`[^`\n]{1,200}`", " ")
+    return F.when(text.contains("`") | text.contains("~~~"), F.regexp_replace(fenced, r"`[^`\n]{1,200}`", " ")).otherwise(text)
 
 
 def _any(text: Column, patterns: list[str]) -> Column:
     return F.coalesce(text.rlike("(?m)" + "|".join(f"(?:{p})" for p in patterns)), F.lit(False))
 
 
+@F.pandas_udf(T.IntegerType())
+def _signs(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Which kinds of signs stand in a text: 1 placeholder, 2 filler, 4 notice; one pass of a multi-pattern automaton."""
+    import ahocorasick
+
+    kinds: dict[str, int] = {}
+    for kind, signs in ((1, PLACEHOLDER_SIGNS), (2, FILLER_SIGNS), (4, NOTICE_SIGNS)):
+        for sign in signs:
+            kinds[sign] = kinds.get(sign, 0) | kind
+    trie = ahocorasick.Automaton()
+    for sign, kind in kinds.items():
+        trie.add_word(sign, kind)
+    trie.make_automaton()
+
+    def one(text: str) -> int:
+        bits = 0
+        for _, kind in trie.iter(text.lower()):
+            bits |= kind
+        return bits
+
+    for texts in it:
+        yield texts.map(one, na_action="ignore").fillna(0).astype("int32")
+
+
 def _unquoted(text: Column) -> Column:
     """Sentences without what they only quote."""
     return F.regexp_replace(text, r"'[^'\n]{3,80}'|\"[^\"\n]{3,80}\"|“[^”\n]{3,80}”|„[^“”\n]{3,80}[“”]|「[^」\n]{2,80}」", " ' ' ")
@@ -66,7 +105,7 @@ def _word_count(text: Column) -> Column:
 
 
 def _line_hash(line: Column) -> Column:
-    return F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{Nd}+", "0"), r"(?U)\s+", " ")))
+    return F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(F.translate(F.lower(line), "123456789", "0" * 9), "00+", "0"), r"(?U)[\s&&[^ ]]+|\s{2,}", " ")))
 
 
 def host_lines(docs: DataFrame) -> DataFrame:
@@ -123,12 +162,13 @@ def residue(documents: DataFrame) -> DataFrame:
     hosts' lines are counted over all documents but only where such a document holds the line.
     """
     docs = documents.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), without_code(F.col("text")).alias("text")).where("text <> ''")
-    lower = F.lower("text")
-    flags = docs.select(
+    signed = docs.withColumn("signs", _signs("text")).where("signs > 0")
+    said = lambda kind, text, patterns: F.when(F.col("signs").bitwiseAND(F.lit(kind)) > 0, _any(text, patterns)).otherwise(False)
+    flags = signed.select(
         "doc_id", "source", "text",
-        _any(F.col("text"), PLACEHOLDERS).alias("placeholder"),
-        _any(lower, FILLER).alias("filler"),
-        _any(lower, [p.removeprefix(r"^\W*").removeprefix(r"(?:^|\W)") for p in ERRORS + SCRIPTS]).alias("notice"),
+        said(1, F.col("text"), PLACEHOLDERS).alias("placeholder"),
+        said(2, F.lower("text"), FILLER).alias("filler"),
+        said(4, F.lower("text"), [p.removeprefix(r"^\W*").removeprefix(r"(?:^|\W)") for p in ERRORS + SCRIPTS]).alias("notice"),
     )
     found = cut(flags.where("placeholder or filler or notice"))
     placeholder = found.where("placeholder").select("doc_id", F.lit("placeholder").alias("reason"))
