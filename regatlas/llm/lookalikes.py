@@ -17,13 +17,15 @@ from pyspark.sql import types as T
 from ..functions.lookalike import FULL_WIDTH, HARD_SPACES, LETTERS, LIGATURES, ZERO_WIDTH
 
 _MARK = re.compile(r"[^\W\d_][\u0300-\u036f]")
-_WORD = re.compile(rf"[\w\u0300-\u036f{ZERO_WIDTH}{''.join(LIGATURES)}]+")
+_WORD = re.compile(rf"[\w\u0300-\u036f{ZERO_WIDTH}{''.join(LIGATURES)}\uff3f]+")
 _LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\uff21-\uff3a\uff41-\uff5a\ufb00-\ufb06]")
 _ODD = "[^\\x00-\\x7F]"
+#: Share of the count of its family that counts for a member.
+FAMILY_SHARE = 0.1
 
 
 def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Code points of all words that hold a Latin letter, and letters with a separate accent."""
+    """Code points of all words that hold a Latin letter, full-width and blank ones anywhere, and letters with a separate accent."""
     strings = [s for s in LIGATURES.values()]
     for batch in batches:
         found: Counter = Counter()
@@ -36,7 +38,7 @@ def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 continue
             words = [w for w in _WORD.findall(text) if _LATIN.search(w)]
             plain.extend(words)
-            plain.append("".join(ch for ch in text if ch in ZERO_WIDTH or ch in HARD_SPACES or ch == " "))
+            plain.append("".join(ch for ch in text if ch in ZERO_WIDTH or ch in HARD_SPACES or ch in FULL_WIDTH or ch == " "))
             found.update(_MARK.findall(text))
         whole = "\n".join(plain)
         for s in strings:
@@ -59,13 +61,21 @@ def alike(s: str) -> str | None:
     return None
 
 
+def _family(s: str) -> str:
+    """Usual characters, or the kind of variant."""
+    if alike(s) is None:
+        return "usual"
+    return "wide" if s in FULL_WIDTH else "script" if s in LETTERS else "other"
+
+
 def lookalike_classes(texts: DataFrame) -> dict[str, str]:
     """Representative of every observed string of a look-alike class, of those that aren't their own.
 
     ``texts`` has one string column. Strings are single code points, ligatures spelled out and letters with a separate
     accent; there are at most as many as Unicode has code points and accents, so their counts (and nothing else) come
     to the driver. Classes are the connected components of "looks like" under union-find, so Ａ, А and Α meet through
-    A; the most frequent member in words with Latin letters represents its class, by code point where counts tie. The
+    A; the most frequent member in words with Latin letters represents its class, by code point where counts tie; to each
+    count FAMILY_SHARE of its family's (usual, full-width, other script) is added, so a rare letter follows the others. The
     class of zero-width characters is represented by the empty string.
     """
     counted = texts.mapInArrow(_count_strings, "s string, n long").groupBy("s").agg(F.sum("n").alias("n"))
@@ -85,9 +95,16 @@ def lookalike_classes(texts: DataFrame) -> dict[str, str]:
     classes: dict[str, list[str]] = {}
     for s in list(parent):
         classes.setdefault(find(s), []).append(s)
+    families: Counter = Counter()
+    for s, n in count.items():
+        families[_family(s)] += n
+
+    def weight(m: str) -> float:
+        return count.get(m, 0) + FAMILY_SHARE * families[_family(m)]
+
     rewrite = {}
     for members in classes.values():
-        best = "" if "" in members else min(members, key=lambda m: (-count.get(m, 0), len(m), m))
+        best = "" if "" in members else min(members, key=lambda m: (-weight(m), len(m), m))
         rewrite |= {m: best for m in members if m != best and m != ""}
     return rewrite
 

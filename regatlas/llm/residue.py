@@ -50,13 +50,15 @@ NOTICE_SIGNS = [
     "try again", "upstream server", "down for maintenance", "too many requests", "access denied", "permission to", "request blocked", "was logged", "not available in", "sign in again", "session has",
     "contact the portal", "back to the start", "incident ", "fatal error", "traceback", "oops", "went wrong", "failed to load", "connection was reset", "please wait", "checking your", "a robot",
     "zugriff verw", "melden sie", "nicht gefunden", "nicht erreichbar", "vorgang ", "bitte warten", "sitzung ist", "страница", "доступ", "页面", "被拒绝", "拒绝访问", "没有权限", "不可用", "内部错误", "无法访问", "已过期",
-    "请稍", "重新登录", "enable ", "javascript", "java script", "site needs", "site requires", "turn them on", "allow it for", "browser does not", "script support", "noscript", "active content", "cannot start",
+    "请稍", "重新登录", "enable cookies", "enable scripts", "javascript", "java script", "site needs", "site requires", "turn them on", "allow it for", "browser does not", "script support", "noscript", "active content", "cannot start",
     "accept all cookies", "accept cookies", "skripte", "aktivieren", "启用", "开启", "需要",
 ]
 # End of fixed values.
 
 #: Sound words beside its notices that an error page may hold; documents of a host, and their share, whose sound text a recurrent notice line must stand beside to be furniture.
 SOUND_WORDS, FURNITURE_DOCUMENTS, FURNITURE_SHARE = 12, 5, 0.5
+#: Words up to which a line that doesn't end as a sentence is a title or navigation.
+TITLE_WORDS = 10
 #: Words of a filler line; share of them that must be filler words; share of a word's lines that must hold open filler.
 FILLER_WORDS, FILLER_SHARE, FILLER_LEARN = 8, 0.8, 0.2
 
@@ -181,7 +183,8 @@ def residue(documents: DataFrame) -> DataFrame:
         .groupBy("source", "line_hash").agg(F.count(F.lit(1)).alias("n_documents")).where(F.col("n_documents") >= FURNITURE_DOCUMENTS).withColumn("recurs", F.lit(True))
     )
     marked = lines.join(recurrent, ["source", "line_hash"], "left").withColumn("recurs", F.coalesce("recurs", F.lit(False)))
-    sound = F.when(~F.col("notice") & (F.col("recurs") | ~F.col("prose")), 0).otherwise(F.col("words"))
+    title = ~F.col("prose") & (F.col("words") <= TITLE_WORDS)
+    sound = F.when(~F.col("notice") & (F.col("recurs") | title), 0).otherwise(F.col("words"))
     body = marked.groupBy("source", "doc_id").agg(F.sum(sound).alias("sound"), F.count_if("notice").alias("notices")).where("notices > 0")
     banners = (
         marked.where("notice and recurs").select("source", "line_hash", "n_documents", "doc_id").distinct().join(body, ["source", "doc_id"])
