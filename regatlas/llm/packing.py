@@ -115,11 +115,10 @@ def pack(pieces: DataFrame) -> DataFrame:
     items = pieces.where("size < capacity").select("budget_id", "id", F.col("size").alias("value"))
     empty_bins = spark.createDataFrame([], "budget_id int, id long, value int")
     bins, last_placed, generation = empty_bins, {}, 0
-    while True:
-        sums = {r.budget_id: r for r in items.groupBy("budget_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum"), F.min("value").alias("least")).collect()}
-        if not sums:
-            return out
-        have = {r.budget_id: r.n for r in bins.groupBy("budget_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    facts = (F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum"), F.min("value").alias("least"))
+    sums = {r.budget_id: r for r in items.groupBy("budget_id").agg(*facts).collect()}
+    have: dict[int, int] = {}
+    while sums:
         empty = [b for b, s in sums.items() if s.sum > s.n * EMPTY_ABOVE * capacity[b]]
         stuck = [b for b, s in sums.items() if not have.get(b) or last_placed.get(b, 1.0) < WORTH]
         generation += 1
@@ -139,20 +138,29 @@ def pack(pieces: DataFrame) -> DataFrame:
             opened = done.groupBy("budget_id", F.col("gap_id").alias("id")).agg(F.sum("value").alias("used")).select("budget_id", "id", (cap - F.col("used")).cast("int").alias("value"))
             bins = bins.unionByName(opened.where("value > 0"))
             items = items.where(~F.col("budget_id").isin(fill)).unionByName(laid.where("gap_id IS NULL").select("budget_id", "id", "value"))
-        for b in (b for b in stuck if b in empty):
+            kept = {r.budget_id: r for r in laid.where("gap_id IS NULL").groupBy("budget_id").agg(*facts).collect()}
+            sums = {b: kept.get(b) if b in fill else r for b, r in sums.items()}
+            sums = {b: r for b, r in sums.items() if r}
+        for b in (b for b in stuck if b in empty and b in sums):
             count = -(-sums[b].sum // capacity[b])
             start = (generation << 52) + (b << 40)
             bins = bins.unionByName(spark.range(start, start + count).select(F.lit(b).cast("int").alias("budget_id"), "id", F.lit(capacity[b]).cast("int").alias("value")))
+        if not sums:
+            break
         elements = items.select("budget_id", F.lit(1).alias("kind"), "id", "value").unionByName(bins.select("budget_id", F.lit(0).alias("kind"), "id", "value"))
         met = cut(best_fit_round(elements))
         done = met.where("kind = 1 AND gap_id IS NOT NULL")
         out = out.unionByName(done.select("budget_id", "id", F.col("value").alias("size"), F.concat(F.lit("c-"), F.col("gap_id")).alias("container")))
-        placed = {r.budget_id: r.n for r in done.groupBy("budget_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+        state = met.groupBy("budget_id", "kind", F.coalesce("gap_id", "item_size").isNotNull().alias("met")).agg(*facts).collect()
+        placed = {r.budget_id: r.n for r in state if r.kind == 1 and r.met}
         last_placed = {b: placed.get(b, 0) / s.n for b, s in sums.items()}
+        have = {r.budget_id: 1 for r in state if r.kind == 0}
         least = F.create_map(*[F.lit(x) for b, s in sums.items() for x in (b, s.least)])[F.col("budget_id")]
         gaps = met.where("kind = 0").select("budget_id", "id", (F.col("value") - F.coalesce("item_size", F.lit(0))).cast("int").alias("value"))
         bins = gaps.where((F.col("value") > 0) & (F.col("value") >= least))
         items = met.where("kind = 1 AND gap_id IS NULL").select("budget_id", "id", "value")
+        sums = {r.budget_id: r for r in state if r.kind == 1 and not r.met}
+    return out
 
 
 def pack_documents(documents: DataFrame, budgets: DataFrame, vocabulary: str | None = None) -> DataFrame:
