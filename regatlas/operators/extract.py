@@ -9,6 +9,7 @@ from pyspark.sql import window as W
 from ..functions import tables as tb
 from ..functions import text as tx
 from ..profile import DROPPED_TYPES, Profile
+from ..session import cut
 
 #: Positions of a document that one task reads in order.
 SPAN = 512
@@ -142,13 +143,19 @@ def figures(noted: DataFrame, secs: DataFrame) -> DataFrame:
     )
 
 
-def build_kb(blocks: DataFrame, profile: Profile = Profile()) -> dict[str, DataFrame]:
-    """All knowledge tables of the documents in ``blocks``, lazily."""
-    noted = annotate(latest_blocks(blocks), profile)
+COLLECTIONS = ("sections", "registers", "enums", "tables", "formulas", "algorithms", "figures")
+
+
+def build_kb(blocks: DataFrame, profile: Profile = Profile(), wanted: tuple[str, ...] = COLLECTIONS) -> dict[str, DataFrame]:
+    """The ``wanted`` knowledge tables of the documents in ``blocks``.
+
+    Annotated blocks and parsed tables are written to the shared folder once, as each feeds several collections; the
+    collections themselves are lazy.
+    """
+    noted = cut(annotate(latest_blocks(blocks), profile))
     secs = sections(noted)
-    tables = table_blocks(noted, profile)
-    return {
-        "sections": secs, "registers": registers(tables, secs, profile), "enums": enums(tables, secs, profile), "tables": other_tables(tables, secs),
-        "formulas": formulas(noted), "algorithms": algorithms(noted), "figures": figures(noted, secs),
-        "modules": blocks.select("module").distinct(), "documents": blocks.select("doc_file", "module").distinct(),
-    }
+    kb = {"sections": secs, "formulas": formulas(noted), "algorithms": algorithms(noted), "figures": figures(noted, secs)}
+    if {"registers", "enums", "tables"} & set(wanted):
+        tables = cut(table_blocks(noted, profile).select("doc_file", "module", "pos", "page_idx", "section_id", "register_anchor", "rows", "header", "class"))
+        kb |= {"registers": registers(tables, secs, profile), "enums": enums(tables, secs, profile), "tables": other_tables(tables, secs)}
+    return {name: kb[name] for name in wanted}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from ..functions.text import tokenize
+from ..session import cut
 
 # BM25 and fusion constants, length of each list, pool.
 K1, B, RRF_K, LIST, POOL, TOP = 1.5, 0.75, 60, 60, 30, 5
@@ -37,15 +38,17 @@ def _top(rows: DataFrame, n: int, *order: Column) -> DataFrame:
 def bm25_topk(docs: DataFrame, key: str, text: str, queries: DataFrame, n: int = LIST) -> DataFrame:
     """``(qid, key, score, rank)`` of the best ``n`` documents of each of ``queries(qid, query)``; only scores above 0.
 
-    A repeated query term counts repeatedly. Ties go to the lower key. Only postings of query terms are scored.
+    A repeated query term counts repeatedly. Ties go to the lower key. Documents are tokenised once; only postings of
+    query terms are scored.
     """
-    posts = postings(docs, key, text)
-    sizes = docs.select(key, F.size(tokenize(F.col(text))).alias("dl"))
-    total = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    posts = cut(postings(docs, key, text))
+    n_docs, n_tokens = docs.count(), posts.agg(F.sum("tf")).first()[0] or 0
+    avgdl = n_tokens / n_docs if n_docs else 0.0
+    sizes = posts.groupBy(key).agg(F.sum("tf").alias("dl"))
     asked = queries.select("qid", F.explode(tokenize(F.col("query"))).alias("term")).groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
     wanted = posts.join(asked.select("term").distinct(), "term", "left_semi")
-    met = wanted.join(term_stats(wanted, total.n), "term").join(sizes, key).join(asked, "term")
-    base = K1 * (1 - B + B * F.col("dl") / total.avgdl) if total.avgdl else F.lit(K1)
+    met = wanted.join(term_stats(wanted, n_docs), "term").join(sizes, key).join(asked, "term")
+    base = K1 * (1 - B + B * F.col("dl") / avgdl) if avgdl else F.lit(K1)
     part = F.col("qtf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + base)
     scored = met.groupBy("qid", key).agg(F.round(F.sum(part), 9).alias("score")).where("score > 0")
     return _top(scored, n, F.desc("score"), F.asc(key))

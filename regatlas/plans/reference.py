@@ -84,35 +84,35 @@ def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kb_sections_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE)["sections"]
+    return extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE, ("sections",))["sections"]
 
 
 def kb_registers_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regs = extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE)["registers"]
+    regs = extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE, ("registers",))["registers"]
     fields = F.array_join(F.transform("bit_fields", lambda f: F.concat_ws("~", f["name"], f["bit_range"], f["access"], f["reset_value"], f["typical_value"], f["description"])), "; ")
     return regs.withColumn("bit_fields", fields)
 
 
 def kb_enums_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE)["enums"]
+    rows = extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE, ("enums",))["enums"]
     return rows.withColumn("values", F.array_join(F.transform("values", lambda v: F.concat_ws("~", v["value"], v["mnemonic"], v["description"])), "; "))
 
 
 def kb_tables_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = extract.build_kb(table(spark, sf_dir, "acme_content_list"))["tables"]
+    rows = extract.build_kb(table(spark, sf_dir, "acme_content_list"), wanted=("tables",))["tables"]
     return rows.select("doc_file", "ord", "module", "section_id", "caption", tx.table_text(F.col("header"), F.col("rows")).alias("text"), "page")
 
 
 def kb_figures_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE)["figures"]
+    return extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE, ("figures",))["figures"]
 
 
 def kb_formulas_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE)["formulas"]
+    return extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE, ("formulas",))["formulas"]
 
 
 def kb_algorithms_built(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE)["algorithms"]
+    return extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE, ("algorithms",))["algorithms"]
 
 
 def event_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
