@@ -45,16 +45,15 @@ def split_items(items: DataFrame, capacities: DataFrame) -> DataFrame:
     return rows.withColumn("size", F.least("capacity", F.col("size") - F.col("piece") * F.col("capacity")).cast("int"))
 
 
-def _ranked(elements: DataFrame) -> DataFrame:
+KEYS = ["budget_id", "kind", "value"]
+
+
+def _ranked(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """Rank of each element within (budget, kind, value), without putting a frequent value into one task."""
-    part = F.pmod(F.xxhash64("id"), F.lit(RANK_PARTS)).cast("int")
-    keys = ["budget_id", "kind", "value"]
-    rows = elements.withColumn("part", part)
-    sizes = rows.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("n"))
-    before = W.Window.partitionBy(*keys).orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    own = F.row_number().over(W.Window.partitionBy(*keys, "part").orderBy("id"))
-    return rows.withColumn("own", own).join(offsets, [*keys, "part"]).withColumn("rank", F.col("own") + F.col("offset")).drop("own", "offset", "part")
+    before = W.Window.partitionBy(*KEYS).orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)
+    offsets = sizes.select(*KEYS, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    own = F.row_number().over(W.Window.partitionBy(*KEYS, "part").orderBy("id"))
+    return rows.withColumn("own", own).join(offsets, [*KEYS, "part"]).withColumn("rank", F.col("own") + F.col("offset")).drop("own", "offset", "part")
 
 
 def best_fit_round(elements: DataFrame) -> DataFrame:
@@ -67,13 +66,16 @@ def best_fit_round(elements: DataFrame) -> DataFrame:
     neighbours at one height are matched, whatever the number of rows. Returns the elements with ``gap_id``/``item_size``
     of the match: for an item its container, for a container the size that it takes; null where there is none.
     """
-    classes = elements.groupBy("budget_id", "value").agg(F.count_if(F.col("kind") == 0).alias("gaps"), F.count_if(F.col("kind") == 1).alias("items"))
+    rows = elements.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(RANK_PARTS)).cast("int"))
+    sizes = rows.groupBy(*KEYS, "part").agg(F.count(F.lit(1)).alias("n"))
+    many = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    classes = sizes.groupBy("budget_id", "value").agg(many(0).alias("gaps"), many(1).alias("items"))
     down = W.Window.partitionBy("budget_id").orderBy(F.desc("value"))
     upto = down.rowsBetween(W.Window.unboundedPreceding, 0)
     sums = classes.withColumn("sum", F.sum(F.col("gaps") - F.col("items")).over(upto))
     height = sums.withColumn("after", F.col("sum") - F.least(F.lit(0), F.min("sum").over(upto)))
     height = height.select("budget_id", "value", "gaps", F.coalesce(F.lag("after").over(down), F.lit(0)).alias("before"))
-    placed = _ranked(elements).join(height, ["budget_id", "value"])
+    placed = _ranked(rows, sizes).join(height, ["budget_id", "value"])
     level = F.when(F.col("kind") == 0, F.col("before") + F.col("rank")).otherwise(F.col("before") + F.col("gaps") - F.col("rank") + 1)
     placed = placed.select("budget_id", "kind", "id", "value", level.alias("level"))
     alike = W.Window.partitionBy("budget_id", "level").orderBy(F.desc("value"), "kind")
