@@ -76,6 +76,15 @@ def is_wordlike(token: str) -> bool:
     return not any(c.isupper() for c in token[1:])
 
 
+def is_suspect(token: str) -> bool:
+    """Like a word, or one with capitals inside that small letters are taken for by their shape; not with other capitals inside."""
+    if is_wordlike(token):
+        return True
+    if "_" in token or any(c.isupper() and c not in DIGIT_SHAPES for c in token[1:]):
+        return False
+    return sum(map(str.islower, token)) > sum(map(str.isupper, token))
+
+
 def pieces(field: str, text: str, furniture: Iterable[int] = ()) -> list[list[str]]:
     """Runs of lines that read on: one for a text, one a cell for a table. Furniture lines (numbered from 1) are left out."""
     if field == "text":
@@ -340,7 +349,7 @@ def _suspicions(vocabulary: dict[str, int]):  # noqa: ANN202
                     for token in set(_TOKEN.findall(whole)) - sound:
                         if number_misread(token):
                             seen.add(("number", None))
-                        elif (low := token.lower()) not in vocabulary and is_wordlike(token):
+                        elif (low := token.lower()) not in vocabulary and is_suspect(token):
                             seen.add(("word", low))
                         else:
                             sound.add(token)

@@ -89,3 +89,12 @@ def test_long_text_repeats_and_empty_table(spark):
 def test_neighbours_across_spans(spark):
     rows = [{"text": CLEAN, "pos": i} for i in range(sn.SPAN - 1)] + [{"text": "the lev-", "pos": sn.SPAN - 1}, {"text": "el", "pos": sn.SPAN * 3}]
     assert {tuple(r) for r in sn.scan_noise(blocks(spark, rows)).collect()} == {(sn.SPAN - 1, "text", "hyphen")}
+
+
+def test_capital_taken_for_a_small_letter(spark):
+    base = [{"text": CLEAN + " clock and optional translation", "doc": f"x{i}"} for i in range(40)]
+    rows = [{"text": "the cIock drives", "doc": "a"}, {"text": "an optionaI port", "doc": "b"}, {"text": "CIock and TransIation", "doc": "c"}, {"text": "the CIOCK at 5 MHz for IOs, SoC and txData", "doc": "d"}]
+    df = blocks(spark, rows + base)
+    assert {tuple(r) for r in sn.scan_noise(df).collect()} == {(i, "text", "misread") for i in range(3)}
+    got = {r.block_id: r.repaired for r in sn.repaired_texts(df).collect()}
+    assert [got[i] for i in range(3)] == ["the clock drives", "an optional port", "Clock and Translation"]
