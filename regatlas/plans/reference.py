@@ -174,14 +174,17 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A dense and a lexical list: the i-th query vector belongs to the i-th question, a vector to the document of its number."""
+    """A dense and a lexical list: the i-th query vector belongs to the i-th question, a vector to the document of its number.
+
+    A question without a vector has a lexical list only.
+    """
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     order = W.Window.orderBy("qid")
     asked = _eval(spark, sf_dir).select("qid", "query").distinct().withColumn("i", F.row_number().over(order) - 1)  # 300 questions at every scale
     own = vectors.where("doc_id % 50 = 0").select((F.col("doc_id") / 50).cast("int").alias("i"), F.col("embedding").alias("vector"))
-    asked = cut(asked.join(own, "i").select("qid", "query", "vector"))
+    asked = cut(asked.join(own, "i", "left").select("qid", "query", "vector"))
     docs = _documents(spark, sf_dir).dropDuplicates(["doc_id"])
-    dense = rank.dense_topk(vectors, "doc_id", "embedding", asked)
+    dense = rank.dense_topk(vectors, "doc_id", "embedding", asked.where("vector IS NOT NULL"))
     return cut(dense), cut(rank.bm25_topk(docs, "doc_id", "text", asked))
 
 
