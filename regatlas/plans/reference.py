@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
@@ -289,13 +289,57 @@ def question_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.question_errors(table(spark, sf_dir, "eval_items"))
 
 
+def _relevant(need: str, hay: Column) -> Column:
+    """Whether ``hay`` holds the expected text, letter case aside; a blank one is never relevant."""
+    want = F.lower(F.coalesce(F.col(f"expected.{need}"), F.lit("")))
+    return (F.trim(want) != "") & F.lower(F.coalesce(hay, F.lit(""))).contains(want)
+
+
+def _relevant_register() -> Column:
+    """The expected register, with the expected field if one is named."""
+    blank = lambda c: F.trim(F.coalesce(F.col(f"expected.{c}"), F.lit(""))) == ""
+    field = tx.norm_field(F.col("expected.bit_field"))
+    fields = F.exists(F.coalesce("bit_fields", F.array()), lambda f: tx.norm_field(F.coalesce(f["name"], F.lit(""))).contains(field))
+    return ~(blank("register_name") & blank("bit_field")) & (blank("register_name") | _relevant("register_name", F.col("register_name"))) & (blank("bit_field") | F.coalesce(fields, F.lit(False)))
+
+
 def hit_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir).dropDuplicates(["doc_id"])
-    asked = _eval(spark, sf_dir).dropDuplicates(["qid"])
-    hits = rank.bm25_topk(docs, "doc_id", "text", asked)
-    want = F.lower(F.coalesce("keyword", F.lit("")))
-    near = hits.join(asked.select("qid", want.alias("want")), "qid").join(docs.select("doc_id", F.lower("text").alias("low")), "doc_id").where(F.col("low").contains(F.col("want")))
-    return quality.hit_rates(near, asked.select("qid", "type"), "type")
+    """``(config, type, n, hit1, hit5)``: each type of question in its search, prose in every fusion, judged by what is expected.
+
+    Registers and figures are looked up by the keyword, or the question where none is given. Prose results are the first
+    10 of the pool in the question's module. The re-ranking configuration needs a model and is left out.
+    """
+    asked = cut(_eval(spark, sf_dir).dropDuplicates(["qid"]))
+    kb = table(spark, sf_dir, "knowledge").dropDuplicates(["record_id"])
+    words = asked.select("qid", F.coalesce("keyword", "query").alias("query"), "module", "type")
+    expected = asked.select("qid", "expected")
+
+    regs = kb.where("collection = 'registers'")
+    hits = search.search_registers(regs, table(spark, sf_dir, "kb_sections"), words.where("type = 'register'")).select("qid", "record_id", F.col("place").alias("rank"))
+    near = {"search_registers": hits.join(regs.select("record_id", "register_name", "bit_fields"), "record_id").join(expected, "qid").where(_relevant_register())}
+
+    figs = kb.where("collection = 'figures'")
+    hay = F.lower(F.concat_ws(" ", "name", "caption", "description"))
+    hits = search.search_concepts({"figures": (figs, hay)}, words.where("type = 'figure'"), "record_id").select("qid", "record_id", F.col("place").alias("rank"))
+    near["search_concepts"] = hits.join(figs.select("record_id", "caption"), "record_id").join(expected, "qid").where(_relevant("caption_contains", F.col("caption")))
+
+    docs = _documents(spark, sf_dir).dropDuplicates(["doc_id"]).select("doc_id", "text", F.col("module").alias("doc_module"))
+    want = asked.where("type = 'prose'").select("qid", "expected", F.lower(F.trim("module")).alias("want"))
+    dense, lexical = _lists(spark, sf_dir)
+    fused = {
+        "bm25": rank.rrf(dense.where("false"), lexical, "doc_id"), "hybrid_rrf": rank.rrf(dense, lexical, "doc_id"),
+        "hybrid_rrf_bonus": rank.rrf(dense, lexical, "doc_id", 0.05, 0.02), "hybrid_relative": rank.relative_score(dense, lexical, "doc_id"),
+    }
+    for config, rows in fused.items():
+        hits = rank.pooled(rows.join(want, "qid"), docs, "doc_id", F.lower("doc_module").contains(F.col("want")), top_k=10)
+        near[config] = hits.where(_relevant("section_contains", F.col("text"))).select("qid", F.col("place").alias("rank"))
+
+    out = None
+    for config, rows in near.items():
+        kind = {"search_registers": "register", "search_concepts": "figure"}.get(config, "prose")
+        rates = quality.hit_rates(rows, asked.where(F.col("type") == kind).select("qid", "type"), "type").select(F.lit(config).alias("config"), "type", "n", "hit1", "hit5")
+        out = rates if out is None else out.unionByName(rates)
+    return out
 
 
 QUERIES = {

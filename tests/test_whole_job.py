@@ -23,3 +23,36 @@ def test_fusion_keeps_questions_without_a_vector(spark, name):
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({whole})").fetchall()
     assert len({r[0] for r in rows}) > con.execute("SELECT count(*) FROM embeddings WHERE vec_id % 50 = 0").fetchone()[0]
     assert rows == {tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in want}
+
+
+def test_hit_rates_judge_by_what_is_expected(spark, tmp_path):
+    field = "array<struct<name:string,bit_range:string,access:string,reset_value:string,typical_value:string,description:string>>"
+    expected = "struct<register_name:string,bit_field:string,caption_contains:string,section_contains:string>"
+    tables = {
+        "eval_items": (
+            [
+                (1, "fifo overflow", None, None, "prose", (None, None, None, "FIFO")), (2, "fifo overflow", None, None, "prose", (None, None, None, "absent")),
+                (3, "fifo overflow", None, None, "prose", (None, None, None, " ")), (4, "fifo overflow", None, "modb", "prose", (None, None, None, "second")),
+                (5, "q", "ctrl", None, "register", ("B_CTRL", "big en", None, None)), (6, "q", "ctrl", "MODA", "register", ("C_CTRL", None, None, None)), (7, "q", "flow", None, "figure", (None, None, "Block", None)),
+            ],
+            f"item_id long, query string, keyword string, module string, type string, expected {expected}",
+        ),
+        "documents": ([(0, "fifo overflow fifo overflow", "s", "MODA"), (50, "second text on fifo overflow and more words", "s", "MODB"), (100, "nothing", "s", None)], "doc_id long, text string, source string, module string"),
+        "embeddings": ([(0, [1.0, 0.0])], "vec_id long, embedding array<float>"),
+        "knowledge": (
+            [
+                (1, "registers", "MODA", "A_CTRL", None, None, []), (2, "registers", "MODA", "B_CTRL", None, None, [("BIG_EN", "", "", "", "", "")]), (3, "registers", "MODB", "C_CTRL", None, None, None),
+                (4, "figures", "MODA", None, "flow of data", None, None), (5, "figures", "MODA", None, "Block flow", None, None),
+            ],
+            f"record_id long, collection string, module string, register_name string, caption string, description string, bit_fields {field}",
+        ),
+        "kb_sections": ([("s", "t", 1)], "section_id string, text string, section_row long"),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "knowledge":
+            df = df.selectExpr("*", "'' AS address", "'s' AS section_id", "CAST(NULL AS STRING) AS name")
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = {(r.config, r.type): (r.n, r.hit1, r.hit5) for r in entry.queries()["hit_at_k"](spark, str(tmp_path)).collect()}
+    prose = {(c, "prose"): (4, 2, 2) for c in ("bm25", "hybrid_rrf", "hybrid_rrf_bonus", "hybrid_relative")}
+    assert got == prose | {("search_registers", "register"): (2, 0, 1), ("search_concepts", "figure"): (1, 0, 1)}
