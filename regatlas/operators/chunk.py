@@ -78,6 +78,40 @@ def chunks(units: DataFrame) -> DataFrame:
     return rows.select("module", "kind", "section_id", "title", "page", "ord", "piece", "breadcrumb", F.col("piece_text").alias("text"), embed.alias("embed_text"))
 
 
+KINDS = ("section", "algorithm", "register", "enum", "table", "markdown")
+
+
+def units(kb: dict[str, DataFrame], ords: dict[str, str | list[str]], markdown: DataFrame | None = None) -> DataFrame:
+    """Units for ``chunks`` of the sections, algorithms, registers, enums and tables of ``kb``, and of ``markdown(module,
+    heading, body, ord)``. ``ords`` names what orders the rows of a collection; several columns are numbered."""
+    e = F.lit("")
+    parts = {
+        "sections": ("section", lambda: F.col("title"), lambda: F.col("text")),
+        "algorithms": ("algorithm", lambda: F.coalesce(F.nullif("caption", e), "sub_type"), lambda: F.col("text")),
+        "registers": ("register", lambda: F.col("register_name"), lambda: tx.register_text(F.col("register_name"), F.col("address"), F.col("description"), F.col("bit_fields"))),
+        "enums": ("enum", lambda: F.col("name"), lambda: tx.enum_text(F.col("name"), F.col("values"))),
+        "tables": ("table", lambda: F.col("caption"), lambda: tx.table_text(F.col("header"), F.col("rows"))),
+    }
+    out = None
+    for name, (kind, title, text) in parts.items():
+        if name not in kb:
+            continue
+        order = ords[name]
+        rows = kb[name] if isinstance(order, str) else numbered(kb[name], order, "_ord")
+        at = F.col(order if isinstance(order, str) else "_ord").cast("long")
+        each = rows.select("module", F.lit(kind).alias("kind"), "section_id", title().alias("title"), F.col("page").cast("int").alias("page"), text().alias("text"), at.alias("ord"))
+        out = each if out is None else out.unionByName(each)
+    if markdown is not None:
+        each = markdown.select("module", F.lit("markdown").alias("kind"), e.alias("section_id"), F.col("heading").alias("title"), F.lit(None).cast("int").alias("page"), F.col("body").alias("text"), F.col("ord").cast("long").alias("ord"))
+        out = each if out is None else out.unionByName(each)
+    return out
+
+
+def kind_order(kind: str = "kind") -> Column:
+    """Place of a chunk's source among KINDS."""
+    return F.array_position(F.array(*map(F.lit, KINDS)), F.col(kind)).cast("int")
+
+
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """``rows`` numbered from 0 in ``order``, without one task for all: range partitions counted, then offset."""
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order)

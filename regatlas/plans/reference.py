@@ -138,8 +138,18 @@ def split_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def breadcrumb_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    secs = table(spark, sf_dir, "kb_sections").select("module", F.lit("section").alias("kind"), "section_id", "title", "page", "text", F.col("section_row").alias("ord"))
-    return chunk.numbered(chunk.chunks(secs), ["ord", "piece"], "chunk_idx").select("chunk_idx", "section_id", "ord", "piece", "breadcrumb", "embed_text")
+    """Chunks of all six sources. The table knowledge has no text of algorithms, values of enums and cells of tables, so
+    these three are those built of the blocks; registers are those of knowledge."""
+    kb = extract.build_kb(table(spark, sf_dir, "acme_content_list"), WIDE, ("algorithms", "enums", "tables"))
+    kb["sections"] = table(spark, sf_dir, "kb_sections")
+    kb["registers"] = table(spark, sf_dir, "knowledge").where("collection = 'registers'").dropDuplicates(["record_id"])
+    built = ["doc_file", "ord"]
+    docs = _documents(spark, sf_dir).dropDuplicates(["doc_id"])
+    marked = chunk.uncovered_units(chunk.markdown_units(docs, "doc_id", "text").join(docs.select("doc_id", "module"), "doc_id"), kb["sections"])
+    marked = chunk.numbered(marked, ["doc_id", "unit"], "at").withColumnRenamed("at", "ord")
+    units = chunk.units(kb, {"sections": "section_row", "registers": "record_id", "algorithms": built, "enums": built, "tables": built}, marked)
+    rows = chunk.chunks(units).withColumn("source", chunk.kind_order())
+    return chunk.numbered(rows, ["source", "ord", "piece"], "chunk_idx").select("chunk_idx", "kind", "section_id", "ord", "piece", "breadcrumb", "embed_text")
 
 
 def markdown_units(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from pathlib import Path
 import __spark_entry__ as entry
 import duckdb
 import pytest
+from regatlas.operators import chunk
 
 DATA = Path("/root/testdata/sf0.001")
 
@@ -56,3 +57,35 @@ def test_hit_rates_judge_by_what_is_expected(spark, tmp_path):
     got = {(r.config, r.type): (r.n, r.hit1, r.hit5) for r in entry.queries()["hit_at_k"](spark, str(tmp_path)).collect()}
     prose = {(c, "prose"): (4, 2, 2) for c in ("bm25", "hybrid_rrf", "hybrid_rrf_bonus", "hybrid_relative")}
     assert got == prose | {("search_registers", "register"): (2, 0, 1), ("search_concepts", "figure"): (1, 0, 1)}
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables here")
+def test_chunks_of_all_sources(spark):
+    rows = entry.queries()["breadcrumb_chunks"](spark, str(DATA)).orderBy("chunk_idx").collect()
+    assert [r.chunk_idx for r in rows] == list(range(len(rows)))
+    kinds = list(dict.fromkeys(r.kind for r in rows))
+    assert kinds == ["section", "algorithm", "register", "enum", "markdown"]  # these tables hold no table of another class
+    con = duckdb.connect()
+    for f in DATA.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM '{f}'")
+    want = con.execute(f"SELECT chunk_idx, section_id, ord, piece, breadcrumb, embed_text FROM ({entry.oracle_sql()['breadcrumb_chunks']})").fetchall()
+    assert {(r.chunk_idx, r.section_id, r.ord, r.piece, r.breadcrumb, r.embed_text) for r in rows if r.kind == "section"} == set(want)
+
+
+def test_units_of_all_sources(spark):
+    long = "words enough to make one chunk of their own"
+    common = "'M' AS module, 's' AS section_id, 1 AS page, 1 AS ord"
+    kb = {
+        "sections": spark.sql(f"SELECT {common}, 'T' AS title, '{long}' AS text"),
+        "algorithms": spark.sql(f"SELECT {common}, '' AS caption, 'code' AS sub_type, '{long}' AS text"),
+        "registers": spark.sql(f"SELECT {common}, 'R_CTRL' AS register_name, '0x4' AS address, '{long}' AS description, array(named_struct('name', 'EN', 'bit_range', '0', 'access', 'RW', 'reset_value', '0', 'description', 'on')) AS bit_fields"),
+        "enums": spark.sql(f"SELECT {common}, 'E' AS name, array(named_struct('value', '0', 'mnemonic', 'OFF', 'description', '{long}')) AS values"),
+        "tables": spark.sql(f"SELECT {common}, 'C' AS caption, array('a', 'b') AS header, array(array('{long}', 'x')) AS rows"),
+    }
+    marked = spark.sql(f"SELECT 'M' AS module, 'H' AS heading, '{long}' AS body, 0 AS ord")
+    units = chunk.units(kb, dict.fromkeys(kb, "ord") | {"tables": ["ord", "section_id"]}, marked)
+    got = {r.kind: (r.breadcrumb, r.text) for r in chunk.chunks(units).collect()}
+    assert got == {
+        "section": ("M › T", long), "algorithm": ("M › code", long), "register": ("M › R_CTRL", f"R_CTRL. 0x4. {long}. 0 EN RW 0 on"), "enum": ("M › E", f"E. 0 OFF {long}"),
+        "table": ("M › C", f"a | b {long} | x"), "markdown": ("M › H", long),
+    }
