@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import html
-import math
 import re
 import unicodedata
 from collections import Counter
@@ -17,46 +16,74 @@ from pyspark.sql import window as W
 
 from ..functions.lookalike import FULL_WIDTH, HARD_SPACES, LETTERS, LIGATURES, ZERO_WIDTH
 from ..session import cut
+from .misreadings import misread_words, word_filter
 from .source_lines import is_body
 
-# What a letter, or two, is taken for by its shape.
-MISREADINGS = [
-    ("e", "c"), ("a", "o"), ("t", "f"), ("i", "j"), ("l", "1"), ("l", "i"), ("i", "l"), ("i", "1"), ("o", "0"), ("d", "cl"), ("d", "ci"), ("d", "c1"),
-    ("s", "5"), ("n", "u"), ("u", "n"), ("u", "ii"), ("n", "ii"), ("m", "rn"), ("w", "vv"), ("g", "q"), ("g", "9"), ("h", "b"), ("b", "6"), ("b", "h"), ("ri", "n"), ("rn", "m"),
-    ("cl", "d"), ("vv", "w"), ("z", "2"), ("c", "e"), ("o", "a"), ("f", "t"), ("j", "i"), ("q", "g"), ("h", "li"), ("li", "h"), ("ti", "n"), ("in", "m"), ("m", "in"), ("nn", "m"), ("y", "v"),
-    ("ä", "a"), ("ö", "o"), ("ü", "u"), ("ü", "ii"), ("ß", "b"), ("0", "o"), ("1", "l"), ("5", "s"),
-]
+# Letters taken for digits by their shape, and marks at the end of a broken line.
 DIGIT_SHAPES = {"O": "0", "o": "0", "Q": "0", "l": "1", "I": "1", "i": "1", "|": "1", "S": "5", "s": "5", "Z": "2", "z": "2"}
 BREAK_MARKS = "-¬‐­"
+PAGE_WORDS = ["page", "pg", "seite", "стр", "страница", "第"]
+PAGE_LETTERS = ["s", "p"]  # only with a full stop
+PAGE_TOTALS = ["of", "von", "из", "/", "共"]
 # End of fixed values.
 
-#: A word of the language makes up at least this share of all tokens (so there are at most 1 / VOCABULARY_SHARE of them), and occurs at least so often.
-VOCABULARY_SHARE, VOCABULARY_LEAST = 2e-6, 3
-#: Times that a word must be as frequent as what it is misread as; the same where both belong to the vocabulary.
-FREQUENCY_RATIO, TRUSTED_RATIO = 4.0, 100.0
-#: A page's number is at most so much larger than its index.
-PAGE_OFFSET = 40
+#: Share of the documents with a known offset between printed and counted pages that must share an offset for it to be trusted elsewhere.
+OFFSET_SHARE = 0.01
+#: Positions of a document that one window sorts.
+SPAN = 4096
 
-_FOLD = str.maketrans({**LETTERS, **FULL_WIDTH, **LIGATURES, **dict.fromkeys(ZERO_WIDTH, ""), **dict.fromkeys(HARD_SPACES, " ")})
-_FOLDABLE = re.compile("[" + "".join(map(chr, _FOLD)) + "\u0300-\u036f]")
-_MAY_BREAK = re.compile(rf"[{BREAK_MARKS}]\s*(?:\n|$|<(?i:br))")
+_FOLD = {**LETTERS, **FULL_WIDTH, **LIGATURES, **dict.fromkeys(ZERO_WIDTH, ""), **dict.fromkeys(HARD_SPACES, " ")}
+_FOLDABLE = re.compile("[" + "".join(_FOLD) + "\u0300-\u036f]")
+_FOREIGN = frozenset(LETTERS)
+_WORD = re.compile(rf"[\ẁ-ͯ{ZERO_WIDTH}]+")
+_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏＡ-Ｚａ-ｚﬀ-ﬆ]")
 _TOKEN = re.compile(r"[^\W_㐀-鿿]+(?:_[^\W㐀-鿿]*)*")
+_MAY_BREAK = re.compile(rf"[{BREAK_MARKS}]\s*(?:\n|$|<(?i:br))")
 _BROKEN = re.compile(rf"([^\W\d_]+)([{BREAK_MARKS}])\s*$")
-_GOES_ON = re.compile(r"\s*([^\W\d_]+)")
+_GOES_ON = re.compile(r"\s*([^\W\d_]+)(\S*)")
 _HEX = re.compile(r"[0oOQ][xX][0-9A-Fa-fOoQlIi|SsZz]{1,16}")
 _TRUE_HEX = re.compile(r"0[xX][0-9A-Fa-f]+")
 _NUMBER = re.compile(r"[0-9OoQlIi|SsZz]{2,12}")
-_CELLS = re.compile(r"(?i)</?(?:table|thead|tbody|tr|td|th)\b[^>]*>")
-_LINE_TAG = re.compile(r"(?i)<br\s*/?>")
-_TAG = re.compile(r"<[^>]*>")
-_PAGE = r"^[\W_]*(?:(?i:page|pg|seite|s|p|стр|страница|第)\.?\s*)?(\d{1,5})\s*(?:(?i:of|von|из|/|共)\s*(\d{1,5}))?\s*页?[\W_]*$"
+_CELL = r"(?i:</?(?:table|thead|tbody|tr|td|th)\b[^>]*>)"
+_CELL_TAG, _LINE_TAG, _TAG = re.compile(_CELL), re.compile(r"(?i)<br\s*/?>"), re.compile(r"(<[^>]*>)")
+
 
+# -- reading ---------------------------------------------------------------------------------------------------------
 
-def fold(text: str) -> str:
-    """``text`` with look-alike characters as Latin ones; for reading words only, so other scripts may suffer."""
+
+def fold(text: str) -> tuple[str, list[int] | None]:
+    """``text`` as it is read, look-alike characters as Latin ones, and where each of its characters stands in ``text``.
+
+    Only words that hold a Latin letter have letters of other scripts folded, so words wholly in another script stay as they
+    are. The places are None where nothing changed; else there is one more, for the end.
+    """
     if text.isascii() or not _FOLDABLE.search(text):
-        return text
-    return unicodedata.normalize("NFC", text.translate(_FOLD))
+        return text, None
+    out: list[str] = []
+    places: list[int] = []
+
+    def put(new: str, at: int) -> None:
+        out.append(new)
+        places.extend([at] * len(new))
+
+    def put_all(start: int, end: int, foreign: bool) -> None:
+        at = start
+        while at < end:
+            ch = text[at]
+            new = _FOLD.get(ch, ch) if foreign or ch not in _FOREIGN else ch
+            size = 1
+            if at + 1 < end and "̀" <= text[at + 1] <= "ͯ" and len(whole := unicodedata.normalize("NFC", new + text[at + 1])) == 1:
+                new, size = whole, 2
+            put(new, at)
+            at += size
+
+    at = 0
+    for m in _WORD.finditer(text):
+        put_all(at, m.start(), False)
+        put_all(m.start(), m.end(), bool(_LATIN.search(m.group())))
+        at = m.end()
+    put_all(at, len(text), False)
+    return "".join(out), [*places, len(text)]
 
 
 def number_misread(token: str) -> str | None:
@@ -89,210 +116,152 @@ def pieces(field: str, text: str, furniture: Iterable[int] = ()) -> list[list[st
     """Runs of lines that read on: one for a text, one a cell for a table. Furniture lines (numbered from 1) are left out."""
     if field == "text":
         skip = set(furniture)
-        return [[x for i, x in enumerate(fold(text).split("\n"), 1) if i not in skip]]
+        return [[x for i, x in enumerate(text.split("\n"), 1) if i not in skip]]
     if not _MAY_BREAK.search(text):
-        return [html.unescape(_TAG.sub(" ", fold(text))).split("\n")]
-    cells = _CELLS.split(text)
-    return [html.unescape(_TAG.sub(" ", _LINE_TAG.sub("\n", fold(c)))).split("\n") for c in cells if c.strip()]
+        return [html.unescape(_TAG.sub(" ", text)).split("\n")]
+    return [html.unescape(_TAG.sub(" ", _LINE_TAG.sub("\n", c))).split("\n") for c in _CELL_TAG.split(text) if c.strip()]
+
 
+def join_lines(lines: list[str], after: str | None, before: bool, compounds: Iterable[tuple[str, str]] = ()) -> tuple[list[str], list[tuple[str, str, str]]]:
+    """The lines with words broken at their ends made whole, and ``(head, mark, tail)`` of each that was.
 
-def broken_at(lines: list[str], after: str | None) -> list[tuple[int, str, str, str, bool]]:
-    """``(line, head, mark, tail, inside)`` of each word broken at a line end that goes on in the next line or in ``after``."""
-    out = []
+    The rest of the broken token moves to the line where it begins. ``after`` is the first token of the block that follows;
+    ``before``: the first token's head stands in the block before, so it is left out. ``compounds`` are the (head, tail) that
+    keep their hyphen.
+    """
+    lines, broken = list(lines), []
     full = [i for i, x in enumerate(lines) if x.strip()]
+    if before and full and (m := _GOES_ON.match(lines[full[0]])) and m.group(1)[0].islower():
+        lines[full[0]] = lines[full[0]][m.end() :]
+        if not lines[full[0]].strip():
+            full = full[1:]
     for k, i in enumerate(full):
-        m = _BROKEN.search(lines[i])
-        if not m or not m.group(1)[-1].islower():
+        if lines[i].rstrip()[-1:] not in BREAK_MARKS or not (m := _BROKEN.search(lines[i])) or not m.group(1)[-1].islower():
             continue
         inside = k + 1 < len(full)
-        on = lines[full[k + 1]] if inside else after
-        n = _GOES_ON.match(on) if on else None
-        if n and n.group(1)[0].islower():
-            out.append((i, m.group(1), m.group(2), n.group(1), inside))
-    return out
-
-
-def joined(head: str, mark: str, tail: str, words: dict[str, int] | None) -> str:
-    """The word, or the compound with its hyphen, that was broken."""
-    if words is not None and mark == "-" and (head + tail).lower() not in words and head.lower() in words and tail.lower() in words:
-        return head + "-" + tail
-    return head + tail
-
-
-def read_on(lines: list[str], after: str | None, words: dict[str, int] | None, before: bool) -> tuple[str, bool]:
-    """The lines as one text with broken words joined, and whether one was broken. ``before``: the first word's head
-    stands in the block before, so its tail is left out. Without ``words`` broken words are left out."""
-    lines = list(lines)
-    broken = broken_at(lines, after) if any(x.rstrip()[-1:] in BREAK_MARKS for x in lines if x) else []
-    for i, head, mark, tail, inside in broken:
-        cut_at = _BROKEN.search(lines[i]).start()
-        lines[i] = lines[i][:cut_at] + (joined(head, mark, tail, words) if words is not None else "")
+        n = _GOES_ON.match(lines[full[k + 1]] if inside else after or "")
+        if not n or not n.group(1)[0].islower():
+            continue
+        head, mark, tail = m.group(1), m.group(2), n.group(1)
+        broken.append((head, mark, tail))
+        lines[i] = lines[i][: m.end(1)] + ("-" if (head, tail) in compounds else "") + tail + n.group(2)
         if inside:
-            nxt = next(k for k in range(i + 1, len(lines)) if lines[k].strip())
-            lines[nxt] = lines[nxt][_GOES_ON.match(lines[nxt]).end() :]
-            lines[i] += " " if words is None else ""
-            if words is not None:
-                rest = re.match(r"[^\s]*", lines[nxt]).group()
-                lines[i] += rest
-                lines[nxt] = lines[nxt][len(rest) :].lstrip()
-    if before and (n := next((k for k, x in enumerate(lines) if x.strip()), None)) is not None and (m := _GOES_ON.match(lines[n])) and m.group(1)[0].islower():
-        lines[n] = lines[n][m.end() :]
-    return "\n".join(lines), bool(broken)
+            lines[full[k + 1]] = lines[full[k + 1]][n.end() :].lstrip()
+    return lines, broken
 
 
-def _block_columns(batch: pa.RecordBatch) -> Iterator[tuple]:
-    names = ("block_id", "field", "text", "furniture", "after", "before")
-    yield from zip(*(batch.column(c).to_pylist() for c in names))
+def _read_rows(batch: pa.RecordBatch, *more: str) -> Iterator[tuple]:
+    yield from zip(*(batch.column(c).to_pylist() for c in ("block_id", "field", "text", "furniture", "after", "before", *more)))
 
 
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens that look like words, with their number; those at broken line ends are left out."""
+def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a first reading tells, by ``kind``: ``word`` rows count the words (``n``; those broken at line ends are left out),
+    ``number`` rows are blocks with a misread number, ``hyphen`` rows broken words (``word``, ``mark``, ``tail``)."""
     for batch in batches:
-        texts = []
-        for _, field, text, furniture, after, before in _block_columns(batch):
-            texts.extend(read_on(lines, after, None, before)[0] for lines in pieces(field, text, furniture or ()))
         found: Counter = Counter()
-        for token, n in Counter(_TOKEN.findall("\n".join(texts))).items():
-            if is_wordlike(token):
-                found[token.lower()] += n
-        yield pa.RecordBatch.from_pydict({"word": list(found), "n": list(found.values())}, pa.schema([("word", pa.string()), ("n", pa.int64())]))
-
-
-def _inverse() -> dict[str, list[str]]:
-    table: dict[str, list[str]] = {}
-    for true, seen in MISREADINGS:
-        table.setdefault(seen, []).append(true)
-    return table
-
-
-class Trie:
-    """Vocabulary words by their letters; ``near`` intersects it with the automaton of what a token may be misread from."""
-
-    def __init__(self, words: dict[str, int]) -> None:
-        self.root: dict = {}
-        for word in words:
-            node = self.root
-            for ch in word:
-                node = node.setdefault(ch, {})
-            node[""] = word
-        self.inverse = _inverse()
-        self.longest = max(map(len, self.inverse), default=1)
-
-    def near(self, token: str, most: int) -> list[tuple[str, int]]:
-        """All words within ``most`` edits, each a substitution by shape, merge or split, with the least edits.
-
-        States are (place in the token, edits, trie node), explored together, so every word in reach is found.
-        """
-        found: dict[str, int] = {}
-        seen: dict[tuple[int, int], int] = {}
-        todo = [(0, 0, self.root)]
-        while todo:
-            at, edits, node = todo.pop()
-            key = (at, id(node))
-            if seen.get(key, most + 1) <= edits:
-                continue
-            seen[key] = edits
-            if at == len(token):
-                if "" in node and edits < found.get(node[""], most + 1):
-                    found[node[""]] = edits
-                continue
-            if (nxt := node.get(token[at])) is not None:
-                todo.append((at + 1, edits, nxt))
-            if edits == most:
-                continue
-            for size in range(1, self.longest + 1):
-                for true in self.inverse.get(token[at : at + size], ()) if at + size <= len(token) else ():
-                    nxt = node
-                    for ch in true:
-                        if (nxt := nxt.get(ch)) is None:
-                            break
-                    if nxt is not None:
-                        todo.append((at + size, edits + 1, nxt))
-        return [(w, e) for w, e in found.items() if e]
-
-
-def edits_allowed(token: str) -> int:
-    return 1 if len(token) <= 4 else 2 if len(token) <= 7 else 3
-
-
-def candidate_table(suspects: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
-    """``(word, candidate, edits, candidate_n)`` of every vocabulary word in reach of each distinct ``suspects.word``."""
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(vocabulary)
-        for batch in batches:
-            rows = [(w, c, e, vocabulary[c]) for w in batch.column(0).to_pylist() for c, e in trie.near(w, edits_allowed(w))]
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64())], ["word", "candidate", "edits", "candidate_n"])
+        rows: set[tuple] = set()
+        for block, field, text, furniture, after, before in _read_rows(batch):
+            for lines in pieces(field, text, furniture or ()):
+                whole, broken = join_lines(lines, after if field == "text" else None, before)
+                tokens = Counter(_TOKEN.findall(fold("\n".join(whole))[0]))
+                for head, mark, tail in broken:
+                    rows.add(("hyphen", block, field, fold(head)[0].lower(), mark, fold(tail)[0].lower(), 0))
+                    tokens[fold(head + tail)[0]] -= 1
+                for token, n in tokens.items():
+                    if number_misread(token):
+                        rows.add(("number", block, field, None, None, None, 0))
+                    elif n > 0 and is_suspect(token):
+                        found[token.lower()] += n
+        cols = list(zip(*rows, *(("word", None, None, w, None, None, n) for w, n in found.items()))) or [[]] * 7
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["kind", "block_id", "field", "word", "mark", "tail", "n"])
+
+
+_READ = "kind string, block_id long, field string, word string, mark string, tail string, n long"
+
 
-    return suspects.select("word").distinct().mapInArrow(search, "word string, candidate string, edits int, candidate_n long")
+# -- blocks with their furniture and the block that follows ---------------------------------------------------------
 
 
-def word_counts(blocks: DataFrame) -> DataFrame:
-    return blocks.select("block_id", "field", "text", "furniture", "after", "before").mapInArrow(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def _line_key(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{Nd}+", ""), r"(?U)\s+", " "))
 
 
-def vocabulary_of(counts: DataFrame) -> dict[str, int]:
-    """Words of the language with their counts: letters only, frequent, and no misreading of a far more frequent one.
+_ROMAN = "(?=[mdclxvi])m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
 
-    By VOCABULARY_SHARE there are at most 500,000, whatever the corpus.
-    """
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    least = max(VOCABULARY_LEAST, math.ceil(total * VOCABULARY_SHARE))
-    rows = counts.where((F.col("n") >= least) & ~F.col("word").rlike(r"\d")).collect()
-    words = {r.word: r.n for r in rows}
-    trie = Trie(words)
-    top = max(words.values(), default=0)
-    doubtful = [w for w, n in words.items() if n * TRUSTED_RATIO <= top]
-    wrong = [w for w in doubtful if any(words[c] >= TRUSTED_RATIO * words[w] for c, _ in trie.near(w, edits_allowed(w)))]
-    return {w: n for w, n in words.items() if w not in set(wrong)}
 
+def _roman(text: Column) -> Column:
+    """Value of a Roman numeral."""
+    value = lambda c: F.element_at(F.create_map(*[F.lit(x) for k, v in {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}.items() for x in (k, v)]), c)
+    digits = F.filter(F.split(F.lower(text), ""), lambda c: c != "")
+    return F.aggregate(
+        F.transform(digits, lambda c, i: F.struct(value(c).alias("v"), F.coalesce(value(F.get(digits, i + 1)), F.lit(0)).alias("next"))),
+        F.lit(0), lambda total, d: total + F.when(d["v"] < d["next"], -d["v"]).otherwise(d["v"]),
+    )
 
-# -- blocks with their furniture and the block that follows ---------------------------------------------------------
 
+def page_numbers(lines: DataFrame, marks: DataFrame, pages: DataFrame) -> DataFrame:
+    """``(block_id, doc_file, line_no)`` of the ``lines`` that give only the number of their page.
 
-def _line_key(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{Nd}+", ""), r"(?U)\s+", " "))
+    A line that names itself a page (PAGE_WORDS) is one. Another is one when printed number and ``page_idx`` stand apart as
+    they do throughout its document: by the offset that most pages' headers and footers (``marks``) and lines of numbers agree
+    on, two pages at least. Where a document has no such offset, any dressed number is one, and a bare one by an offset that
+    OFFSET_SHARE of the other documents have.
+    Roman numerals need a dress or a second page with the same offset. A null ``page_idx`` takes any page of the document.
+    """
+    words = "|".join([rf"(?:{'|'.join(PAGE_WORDS)})\.?", rf"(?:{'|'.join(PAGE_LETTERS)})\."])
+    totals = "|".join(PAGE_TOTALS)
+    shape = rf"(?i)^[\W_]*(?:({words})\s*)?(\d{{1,9}}|{_ROMAN})\s*(?:(?:{totals})\s*(\d{{1,9}}|{_ROMAN}))?\s*(页?)[\W_]*$"
+    part = lambda i: F.regexp_extract("line", shape, i)
+    number = lambda c: F.when(c.rlike(r"^\d+$"), c.cast("long")).when(c != "", _roman(c).cast("long"))
+    found = lines.where(F.col("line").rlike(shape)).select(
+        "block_id", "doc_file", "page_idx", "line_no", "range_end", number(part(2)).alias("n"), number(part(3)).alias("of"), (~part(2).rlike(r"^\d")).alias("roman"),
+        ((part(1) != "") | (part(4) != "")).alias("named"), (~F.col("line").rlike(r"^\s*\w+\s*$")).alias("dressed"),
+    ).where("n > 0 AND (of IS NULL OR n <= of)").where("NOT (roman AND named AND NOT dressed)")
+    found = cut(found)
+    in_marks = marks.where("page_idx IS NOT NULL").select("doc_file", "page_idx", F.lit(False).alias("roman"), F.explode(F.regexp_extract_all("line", F.lit(r"(\d{1,9})"), 1).cast("array<bigint>")).alias("n"))
+    seen = in_marks.unionByName(found.where("page_idx IS NOT NULL").select("doc_file", "page_idx", "roman", "n"))
+    agreed = seen.groupBy("doc_file", "roman", (F.col("n") - F.col("page_idx")).alias("offset")).agg(F.count_distinct("page_idx").alias("pages")).where("pages > 1")
+    offsets = agreed.groupBy("doc_file", "roman").agg(F.max_by("offset", F.struct("pages", -F.abs("offset"), "offset")).alias("offset"))
+    share = F.sum("n").over(W.Window.partitionBy())
+    usual = offsets.where("NOT roman").groupBy("offset").agg(F.count(F.lit(1)).alias("n")).withColumn("all", share).where(F.col("n") >= F.col("all") * OFFSET_SHARE).select("offset", F.lit(True).alias("usual"))
+    rows = found.join(offsets.withColumnRenamed("offset", "own"), ["doc_file", "roman"], "left").join(pages, "doc_file", "left")
+    rows = rows.withColumn("offset", F.col("n") - F.col("page_idx")).join(usual, "offset", "left")
+    within = F.col("n") - F.coalesce("own", F.lit(0))
+    fits = (
+        F.when(F.col("roman") & F.col("own").isNull(), False)
+        .when(F.col("page_idx").isNull(), within.between(0, F.coalesce("last_page", F.lit(0)) + F.when(F.col("own").isNull(), 1).otherwise(0)))
+        .when(F.col("own").isNotNull(), F.col("offset") == F.col("own"))
+        .otherwise(F.col("dressed") | F.coalesce("usual", F.lit(False)))
+    )
+    return rows.where(F.col("named") | (fits & ~(~F.col("dressed") & F.col("range_end")))).select("block_id", "doc_file", "line_no")
 
 
 def furniture_lines(blocks: DataFrame) -> DataFrame:
     """``(block_id, doc_file, line_no, kind)``: ``running`` and ``page_number`` lines of body blocks.
 
-    Only (document, line hash) and the numbers of short lines are shuffled, never text.
+    Only (document, line hash) and the lines of numbers are shuffled, never other text.
     """
     body = blocks.where(is_body(blocks)).select("block_id", "doc_file", "page_idx", "text").where("text <> ''")
     prior = F.get(F.split("text", "\n"), F.col("at") - 1)
     lines = body.select("block_id", "doc_file", "page_idx", "text", F.posexplode(F.split("text", "\n")).alias("at", "line")).select(
-        "block_id", "doc_file", "page_idx", (F.col("at") + 1).alias("line_no"), "line", F.when(F.col("line").rlike(r"^\W*\d{1,5}\W*$"), prior).alias("prior")
+        "block_id", "doc_file", "page_idx", (F.col("at") + 1).alias("line_no"), "line", (F.col("line").rlike(r"^\s*\d+\s*$") & F.coalesce(prior.rlike(rf"[{BREAK_MARKS}–—]\s*$"), F.lit(False))).alias("range_end")
     )
-    marks = blocks.where(F.col("type").isin("header", "footer")).select("doc_file", F.explode(F.split("text", "\n")).alias("line"))
-    marks = marks.where(_line_key(F.col("line")).rlike(r"\p{L}")).select("doc_file", F.xxhash64(_line_key(F.col("line"))).alias("h")).distinct()
-    keyed = lines.where(_line_key(F.col("line")).rlike(r"\p{L}")).select("block_id", "doc_file", "line_no", F.xxhash64(_line_key(F.col("line"))).alias("h"))
-    running = keyed.join(marks, ["doc_file", "h"], "left_semi").select("block_id", "doc_file", "line_no", F.lit("running").alias("kind"))
-
-    number = F.regexp_extract("line", _PAGE, 1)
-    of = F.regexp_extract("line", _PAGE, 2)
-    numbers = lines.where(F.length("line") <= 60).where(number != "").select(
-        "block_id", "doc_file", "page_idx", "line_no", number.cast("int").alias("n"), F.when(of != "", of.cast("int")).alias("of"),
-        F.col("line").rlike(r"^\s*\d+\s*$").alias("bare"), F.coalesce(F.col("prior").rlike(rf"[{BREAK_MARKS}–—]\s*$"), F.lit(False)).alias("range_end"),
-    )
+    marks = blocks.where(F.col("type").isin("header", "footer")).select("doc_file", "page_idx", F.explode(F.split("text", "\n")).alias("line"))
+    keys = marks.where(_line_key(F.col("line")).rlike(r"\p{L}")).select("doc_file", F.xxhash64(_line_key(F.col("line"))).alias("h")).distinct()
+    keyed = lines.where(F.col("line").rlike(r"\p{L}")).select("block_id", "doc_file", "line_no", F.xxhash64(_line_key(F.col("line"))).alias("h"))
+    running = keyed.join(keys, ["doc_file", "h"], "left_semi").select("block_id", "doc_file", "line_no", F.lit("running").alias("kind"))
     pages = blocks.groupBy("doc_file").agg(F.max("page_idx").alias("last_page"))
-    off = F.col("n") - F.coalesce("page_idx", "last_page", F.lit(0))
-    low = F.when(F.col("page_idx").isNull(), -F.coalesce("last_page", F.lit(0))).otherwise(0)
-    good = off.between(low, PAGE_OFFSET) & (F.col("of").isNull() | (F.col("n") <= F.col("of"))) & ~(F.col("bare") & F.col("range_end"))
-    page = numbers.join(pages, "doc_file", "left").where(good).select("block_id", "doc_file", "line_no", F.lit("page_number").alias("kind"))
-    return running.unionByName(page).distinct()
-
-
-SPAN = 64
+    page = page_numbers(lines, marks, pages).withColumn("kind", F.lit("page_number"))
+    return running.unionByName(page.select("block_id", "doc_file", "line_no", "kind")).distinct()
 
 
 def scanned_blocks(blocks: DataFrame, furniture: DataFrame) -> DataFrame:
     """``(block_id, field, text, furniture, after, before)``: body texts and tables, once each.
 
-    ``furniture`` are the numbers of furniture lines; ``after`` the first other line of the document's next body block
-    where this block ends in a break mark, and ``before`` whether the block before ends so and this one reads on. Neighbours
-    are found within spans of SPAN positions first and then among the spans, so that no task sorts a whole document.
+    ``furniture`` are the numbers of furniture lines; ``after`` the first token of the document's next body block where this
+    block ends in a broken word, and ``before`` whether the block before ends so. Blocks of furniture alone are passed over.
+    Neighbours are found within spans of SPAN positions first and then among the spans, so that no task sorts a whole document.
     """
     body = blocks.where(is_body(blocks)).where("text <> ''").select("block_id", "doc_file", "pos", "text").dropDuplicates(["block_id"])
     marks = furniture.groupBy("block_id").agg(F.collect_set("line_no").alias("furniture"))
@@ -301,24 +270,24 @@ def scanned_blocks(blocks: DataFrame, furniture: DataFrame) -> DataFrame:
         F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), F.coalesce(F.array_contains("furniture", i + 1), F.lit(False)).alias("f"))),
         lambda s: ~s["f"] & s["x"].rlike(r"(?U)\S"),
     )
-    ends = F.get(lines, F.size(lines) - 1)["x"].rlike(rf"\p{{L}}[{BREAK_MARKS}](?U)\s*$")
-    may_end = F.col("text").rlike(rf"\p{{L}}[{BREAK_MARKS}](?U)\s*(?:\n|$)")
-    heads = body.select(
-        "block_id", "doc_file", "pos", F.floor(F.col("pos") / SPAN).alias("span"),
-        F.substring(F.get(lines, F.lit(0))["x"], 1, 80).alias("head"),
-        F.when(may_end, F.coalesce(ends, F.lit(False))).otherwise(False).alias("ends"),
-    )
+    broken_end = rf"\p{{Ll}}[{BREAK_MARKS}](?U)\s*"
+    may_end = F.col("text").rlike(rf"{broken_end}(?:\n|$)")
+    first = F.when(F.col("furniture").isNull(), F.regexp_extract("text", r"(?U)^\s*(\S+)", 1)).otherwise(F.regexp_extract(F.get(lines, F.lit(0))["x"], r"(?U)(\S+)", 1))
+    ends = F.when(may_end, F.coalesce(F.get(lines, F.size(lines) - 1)["x"].rlike(f"{broken_end}$"), F.lit(False))).otherwise(False)
+    heads = body.select("block_id", "doc_file", "pos", F.floor(F.col("pos") / SPAN).alias("span"), first.alias("head"), ends.alias("ends")).where("head <> ''")
+    heads = heads.withColumn("head", F.when(F.col("head").rlike(r"^\p{Ll}"), F.col("head")))
+    own = F.struct("head", "ends")
     within = W.Window.partitionBy("doc_file", "span").orderBy("pos", "block_id")
-    near = heads.withColumn("after", F.lead("head").over(within)).withColumn("prev", F.lag("ends").over(within))
-    spans = heads.groupBy("doc_file", "span").agg(F.min_by("head", "pos").alias("first_head"), F.max_by("ends", "pos").alias("last_ends"))
+    near = heads.withColumn("next", F.lead(own).over(within)).withColumn("prev", F.lag(own).over(within))
+    order = F.struct("pos", "block_id")
+    spans = heads.groupBy("doc_file", "span").agg(F.min_by(own, order).alias("first"), F.max_by(own, order).alias("last"))
     over = W.Window.partitionBy("doc_file").orderBy("span")
-    spans = spans.select("doc_file", "span", F.lead("first_head").over(over).alias("next_head"), F.lag("last_ends").over(over).alias("prev_ends"))
-    edge = near.where("(ends AND after IS NULL) OR prev IS NULL").join(spans, ["doc_file", "span"], "left")
-    inner = near.where("NOT ((ends AND after IS NULL) OR prev IS NULL)").where("ends OR prev")
-    links = inner.select("block_id", F.when(F.col("ends"), F.col("after")).alias("after"), F.col("prev").alias("before")).unionByName(
-        edge.select("block_id", F.when(F.col("ends"), F.coalesce("after", "next_head")).alias("after"), F.coalesce("prev", "prev_ends").alias("before"))
-    )
-    links = links.where("after IS NOT NULL OR before")
+    spans = spans.select("doc_file", "span", F.lead("first").over(over).alias("next_first"), F.lag("last").over(over).alias("prev_last"))
+    edge = "next IS NULL AND ends OR prev IS NULL AND head IS NOT NULL"
+    link = lambda n, p: [F.when(F.col("ends"), n["head"]).alias("after"), (F.col("head").isNotNull() & F.coalesce(p["ends"], F.lit(False))).alias("before")]
+    inner = near.where(f"NOT ({edge})").where("ends OR prev.ends").select("block_id", *link(F.col("next"), F.col("prev")))
+    outer = near.where(edge).join(spans, ["doc_file", "span"], "left").select("block_id", *link(F.coalesce("next", "next_first"), F.coalesce("prev", "prev_last")))
+    links = inner.unionByName(outer).where("after IS NOT NULL OR before")
     texts = body.join(links, "block_id", "left").select("block_id", F.lit("text").alias("field"), "text", "furniture", "after", F.coalesce("before", F.lit(False)).alias("before"))
     tables = blocks.where("type = 'table' AND table_body <> ''").dropDuplicates(["block_id"])
     none = F.lit(None)
@@ -331,46 +300,41 @@ def scanned_blocks(blocks: DataFrame, furniture: DataFrame) -> DataFrame:
 # -- detection -------------------------------------------------------------------------------------------------------
 
 
-def _suspicions(vocabulary: dict[str, int]):  # noqa: ANN202
-    """Per block: broken words, misread numbers and tokens that are no words."""
+def _read(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Furniture, scanned blocks, their first reading, the broken words that are compounds, and the misread words."""
+    furniture = cut(furniture_lines(blocks))
+    scanned = cut(scanned_blocks(blocks, furniture))
+    reading = cut(scanned.mapInArrow(read_blocks, _READ))
+    counts = cut(reading.where("kind = 'word'").groupBy("word").agg(F.sum("n").alias("n")))
+    broken = reading.where("kind = 'hyphen'").groupBy("word", "mark", "tail").agg(F.lit(1)).select("word", "mark", "tail", F.concat("word", "tail").alias("whole"))
+    known = lambda c: counts.select(F.col("word").alias(c), F.col("n").alias(f"{c}_n"))
+    told = cut(broken.withColumnRenamed("word", "head").join(known("head"), "head", "left").join(known("tail"), "tail", "left").join(known("whole"), "whole", "left"))
+    compound = F.coalesce((F.col("mark") == "-") & (F.coalesce("whole_n", F.lit(0)) < F.least("head_n", "tail_n")) & F.col("head_n").isNotNull() & F.col("tail_n").isNotNull(), F.lit(False))
+    compounds = told.where(compound).select("head", "mark", "tail")
+    misread = cut(misread_words(counts, told.where(~compound).select(F.col("whole").alias("word")).distinct()))
+    return furniture, scanned, reading, compounds, misread
+
+
+def _occurrences(scanned: DataFrame, misread: DataFrame, contexts: bool) -> DataFrame:
+    """``(block_id, field, word, left, right)``: where misread words stand; the neighbours only if ``contexts``."""
+    wrong = word_filter(misread.select("word").distinct())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sound: set[str] = set()  # tokens known to be words, names or numbers
         for batch in batches:
-            out = []
-            if len(sound) > 500_000:
-                sound.clear()
-            for block, field, text, furniture, after, before in _block_columns(batch):
-                seen = set()
+            out = set()
+            for block, field, text, furniture, after, before in _read_rows(batch):
                 for lines in pieces(field, text, furniture or ()):
-                    whole, broken = read_on(lines, after, vocabulary, before)
-                    if broken:
-                        seen.add(("hyphen", None))
-                    for token in set(_TOKEN.findall(whole)) - sound:
-                        if number_misread(token):
-                            seen.add(("number", None))
-                        elif (low := token.lower()) not in vocabulary and is_suspect(token):
-                            seen.add(("word", low))
-                        else:
-                            sound.add(token)
-                out += [(block, field, kind, word) for kind, word in seen]
-            cols = list(zip(*out)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.string()) for c in cols[1:])], ["block_id", "field", "kind", "word"])
-
-    return read
-
-
-def misread_words(words: DataFrame, counts: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
-    """``(word, candidate, edits, candidate_n)`` of the words that are misreadings of far more frequent ones."""
-    found = candidate_table(words, vocabulary).join(counts.withColumnRenamed("n", "own_n"), "word", "left")
-    return found.where(F.col("candidate_n") >= FREQUENCY_RATIO * F.coalesce("own_n", F.lit(1))).drop("own_n")
-
-
-def _read(blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, int]]:
-    furniture = cut(furniture_lines(blocks))
-    scanned = cut(scanned_blocks(blocks, furniture))
-    counts = cut(word_counts(scanned))
-    return furniture, scanned, counts, vocabulary_of(counts)
+                    tokens = _TOKEN.findall(fold("\n".join(join_lines(lines, after if field == "text" else None, before)[0]))[0])
+                    if not contexts:
+                        out.update((block, field, low, None, None) for t in set(tokens) if (low := t.lower()) in wrong and is_suspect(t))
+                        continue
+                    low = [t.lower() for t in tokens]
+                    out.update((block, field, w, low[i - 1] if i else "", low[i + 1] if i + 1 < len(low) else "") for i, w in enumerate(low) if w in wrong and is_suspect(tokens[i]))
+            cols = list(zip(*out)) or [[]] * 5
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["block_id", "field", "word", "left", "right"])
+
+    return scanned.mapInArrow(read, "block_id long, field string, word string, left string, right string")
 
 
 def scan_noise(blocks: DataFrame) -> DataFrame:
@@ -379,27 +343,28 @@ def scan_noise(blocks: DataFrame) -> DataFrame:
     Null and empty texts hold no noise; a block delivered twice counts once, blocks of one position follow by id; a null
     ``page_idx`` accepts any page number of the document. Words wholly in another script are read as they are. An empty
     table gives an empty result.
+
+    Scale: counts, tries and joins are partitioned by word; what goes to every task is a filter of at most 16 MB, whose false
+    hits the join removes.
     """
-    furniture, scanned, counts, vocabulary = _read(blocks)
-    said = cut(scanned.mapInArrow(_suspicions(vocabulary), "block_id long, field string, kind string, word string"))
-    words = said.where("kind = 'word'")
-    wrong = misread_words(words, counts, vocabulary).select("word").distinct()
-    misread = words.join(wrong, "word", "left_semi").select("block_id", "field").union(said.where("kind = 'number'").select("block_id", "field"))
+    furniture, scanned, reading, _, misread = _read(blocks)
+    held = _occurrences(scanned, misread, False).join(misread.select("word").distinct(), "word", "left_semi").select("block_id", "field")
+    of = lambda kind: reading.where(F.col("kind") == kind).select("block_id", "field")
     return (
-        misread.select("block_id", "field", F.lit("misread").alias("noise"))
-        .union(said.where("kind = 'hyphen'").select("block_id", "field", F.lit("hyphen").alias("noise")))
+        held.union(of("number")).select("block_id", "field", F.lit("misread").alias("noise"))
+        .union(of("hyphen").select("block_id", "field", F.lit("hyphen").alias("noise")))
         .union(furniture.select("block_id", F.lit("text").alias("field"), F.col("kind").alias("noise")))
         .distinct()
-    )
+    )
 
 
 # -- repair ----------------------------------------------------------------------------------------------------------
 
 
-def _reflow(text: str) -> str:
+def _reflow(lines: list[str]) -> str:
     """Lines of one paragraph on one line; blank lines, list items and lines after a sentence's end keep their break."""
     out: list[str] = []
-    for line in (x.strip() for x in text.split("\n")):
+    for line in (x.strip() for x in lines):
         if not line:
             if out and out[-1]:
                 out.append("")
@@ -410,84 +375,105 @@ def _reflow(text: str) -> str:
     return "\n".join(out).strip()
 
 
+def corrected(text: str, fixes: dict[tuple[str, str, str], str]) -> str:
+    """``text`` with misread numbers, and with the words of ``fixes`` (by themselves and their neighbours, or else by
+    themselves alone), replaced where they stand; everything else stays as it is, whatever its script."""
+    read, places = fold(text)
+    tokens = list(_TOKEN.finditer(read))
+    low = ["", *(m.group().lower() for m in tokens), ""]
+    out, at = [], 0
+    for i, m in enumerate(tokens, 1):
+        new = number_misread(m.group())
+        if new is None and fixes and is_suspect(m.group()):
+            new = fixes.get((low[i], low[i - 1], low[i + 1])) or fixes.get((low[i], "", ""))
+            new = new.capitalize() if new and m.group()[0].isupper() else new
+        if new is not None:
+            start, end = (m.start(), m.end()) if places is None else (places[m.start()], places[m.end()])
+            out += [text[at:start], new]
+            at = end
+    return "".join(out) + text[at:]
+
+
+def repaired_cell(cell: str, fixes: dict[tuple[str, str, str], str], compounds: Iterable[tuple[str, str]]) -> str:
+    """A table cell with words broken at its line breaks made whole and misread words corrected; its tags and entities stay."""
+    parts = _TAG.split(cell)  # text at even places, tags at odd ones
+    for i in range(0, len(parts) - 2, 2):
+        if _LINE_TAG.fullmatch(parts[i + 1]) and (m := _BROKEN.search(parts[i])) and m.group(1)[-1].islower() and (n := _GOES_ON.match(parts[i + 2])) and n.group(1)[0].islower():
+            parts[i] = parts[i][: m.end(1)] + ("-" if (m.group(1), n.group(1)) in compounds else "") + n.group(1) + n.group(2)
+            parts[i + 1], parts[i + 2] = "", parts[i + 2][n.end() :]
+    plain = [html.unescape(x) for x in parts[::2]]
+    for i, text in enumerate(plain):
+        if "\n" in text:
+            lines, broken = join_lines(text.split("\n"), None, False, compounds)
+            text = "\n".join(lines) if broken else text
+        new = corrected(text, fixes)
+        if new != plain[i]:
+            parts[2 * i] = html.escape(new, quote=False) if "&" in parts[2 * i] else new
+    return "".join(parts)
+
+
 def repaired_texts(blocks: DataFrame) -> DataFrame:
     """``(block_id, field, repaired)`` of every body text and table: no furniture, whole words, continuous paragraphs.
 
-    A word broken over two blocks goes to the first. A misread word becomes the candidate that follows its left and
-    precedes its right neighbour most often, then the one with fewer edits, then the more frequent one. In a table only
-    misread words and broken words within a cell change.
+    A word broken over two blocks goes, with what is joined to it, to the first. A misread word becomes the candidate that
+    follows its left and precedes its right neighbour most often, then the one misread at less cost, then the more frequent
+    one. Sound words of any script keep their characters. In a table only misread words and numbers and broken words within
+    a cell change, so a sound one comes out as it was. Null and empty texts have no row; repeated blocks have one.
     """
-    _, scanned, counts, vocabulary = _read(blocks)
-
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for block, field, text, furniture, after, before in _block_columns(batch):
-                at = 0
-                for lines in pieces(field, text, furniture or ()):
-                    tokens = [t.lower() for t in _TOKEN.findall(read_on(lines, after, vocabulary, before)[0])]
-                    for i, low in enumerate(tokens):
-                        if low not in vocabulary and is_wordlike(low):
-                            left, right = tokens[i - 1] if i else "", tokens[i + 1] if i + 1 < len(tokens) else ""
-                            out.append((block, field, at, low, left, right))
-                        at += 1
-            cols = list(zip(*out)) if out else [[], [], [], [], [], []]
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["block_id", "field", "at", "word", "left", "right"])
+    _, scanned, reading, compounds, misread = _read(blocks)
+    seen = cut(_occurrences(scanned, misread, True).join(misread.select("word").distinct(), "word", "left_semi"))
+    options = seen.select("word", "left", "right").distinct().join(misread, "word")
+    asked = options.select(F.col("left").alias("a"), F.col("candidate").alias("b")).union(options.select("candidate", "right")).where("a <> '' AND b <> ''").distinct()
+    asked = cut(asked.withColumn("pair", F.concat_ws(" ", "a", "b")))
+    wanted = word_filter(asked.select(F.col("pair").alias("word")))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter = Counter()
-            for _, field, text, furniture, after, before in _block_columns(batch):
+            for _, field, text, furniture, after, before in _read_rows(batch):
                 for lines in pieces(field, text, furniture or ()):
-                    tokens = [t.lower() for t in _TOKEN.findall(read_on(lines, after, vocabulary, before)[0])]
-                    found.update((a, b) for a, b in zip(tokens, tokens[1:]) if a in vocabulary and b in vocabulary)
-            cols = [[a for a, _ in found], [b for _, b in found], list(found.values())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int64()))], ["a", "b", "pair_n"])
-
-    seen = cut(scanned.mapInArrow(contexts, "block_id long, field string, at int, word string, left string, right string"))
-    options = seen.join(misread_words(seen, counts, vocabulary), "word")
-    bigrams = scanned.mapInArrow(pairs, "a string, b string, pair_n long").groupBy("a", "b").agg(F.sum("pair_n").alias("pair_n"))
-    asked = options.select(F.col("left").alias("a"), F.col("candidate").alias("b")).union(options.select("candidate", "right")).distinct()
-    known = cut(bigrams.join(asked, ["a", "b"], "left_semi"))
+                    low = [t.lower() for t in _TOKEN.findall(fold("\n".join(join_lines(lines, after if field == "text" else None, before)[0]))[0])]
+                    found.update(f"{a} {b}" for a, b in zip(low, low[1:]))
+            rows = [(p, n) for p, n in found.items() if p in wanted]
+            cols = list(zip(*rows)) or [[]] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64())], ["pair", "pair_n"])
+
+    counted = scanned.mapInArrow(pairs, "pair string, pair_n long").groupBy("pair").agg(F.sum("pair_n").alias("pair_n"))
+    known = cut(asked.join(counted, "pair").select("a", "b", "pair_n"))
     scored = (
         options.join(known.select(F.col("a").alias("left"), F.col("b").alias("candidate"), F.col("pair_n").alias("left_n")), ["left", "candidate"], "left")
         .join(known.select(F.col("a").alias("candidate"), F.col("b").alias("right"), F.col("pair_n").alias("right_n")), ["candidate", "right"], "left")
         .withColumn("context", F.log1p(F.coalesce("left_n", F.lit(0))) + F.log1p(F.coalesce("right_n", F.lit(0))))
     )
-    best = scored.groupBy("block_id", "field", "at").agg(F.max_by("candidate", F.struct("context", -F.col("edits"), "candidate_n", "candidate")).alias("candidate"))
-    fixes = best.groupBy("block_id", "field").agg(F.map_from_entries(F.collect_list(F.struct("at", "candidate"))).alias("fixes"))
+    best = scored.groupBy("word", "left", "right").agg(F.max_by("candidate", F.struct("context", -F.col("cost"), "candidate_n", "candidate")).alias("candidate"))
+    fixes = seen.join(best, ["word", "left", "right"]).groupBy("block_id", "field").agg(F.collect_set(F.struct("word", "left", "right", "candidate")).alias("fixes"))
+    hyphens = reading.where("kind = 'hyphen'").select("block_id", "field", F.col("word").alias("head"), "mark", "tail").join(compounds, ["head", "mark", "tail"], "left_semi")
+    hyphens = hyphens.groupBy("block_id", "field").agg(F.collect_set(F.struct("head", "tail")).alias("compounds"))
 
     def repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
             done = []
-            for field, text, furniture, after, before, fix in zip(df.field, df.text, df.furniture, df.after, df.before, df.fixes):
-                change = {f["key"]: f["value"] for f in fix} if fix is not None else {}
-                at = 0
-
-                def one(m: re.Match) -> str:
-                    nonlocal at
-                    token, number = m.group(), number_misread(m.group())
-                    new = change.get(at)
-                    at += 1
-                    if number:
-                        return number
-                    return token if new is None else new.capitalize() if token[0].isupper() else new
-
+            for field, text, furniture, after, before, fix, keep in zip(df.field, df.text, df.furniture, df.after, df.before, df.fixes, df.compounds):
+                change = {(f["word"], f["left"], f["right"]): f["candidate"] for f in fix} if fix is not None else {}
+                for word, candidate in sorted((w, c) for (w, _, _), c in change.items()):
+                    change.setdefault((word, "", ""), candidate)
+                held = _Compounds((f["head"], f["tail"]) for f in keep) if keep is not None else ()
                 if field == "text":
                     lines = pieces(field, text, furniture if furniture is not None else ())[0]
-                    done.append(_reflow(_TOKEN.sub(one, read_on(lines, after, vocabulary, bool(before))[0])))
-                    continue
-                out = []
-                for part in re.split(r"((?i:</?(?:table|thead|tbody|tr|td|th)\b[^>]*>))", text):
-                    if not part.strip() or part.startswith("<"):
-                        out.append(part)
-                        continue
-                    for lines in pieces(field, part):
-                        whole = _TOKEN.sub(one, read_on(lines, None, vocabulary, False)[0])
-                        out.append(html.escape(" ".join(whole.split()), quote=False))
-                done.append("".join(out))
+                    done.append(corrected(_reflow(join_lines(lines, after, bool(before), held)[0]), change))
+                else:
+                    parts = re.split(f"({_CELL})", text)
+                    parts[::2] = [repaired_cell(x, change, held) if x else x for x in parts[::2]]
+                    done.append("".join(parts))
             yield pd.DataFrame({"block_id": df.block_id, "field": df.field, "repaired": done})
 
-    rows = scanned.join(fixes, ["block_id", "field"], "left").withColumn("fixes", F.map_entries("fixes"))
+    rows = scanned.join(fixes, ["block_id", "field"], "left").join(hyphens, ["block_id", "field"], "left")
     return rows.mapInPandas(repair, "block_id long, field string, repaired string")
+
+
+class _Compounds(frozenset):
+    """Heads and tails of compounds, without letter case."""
+
+    def __contains__(self, pair: object) -> bool:
+        head, tail = pair  # type: ignore[misc]
+        return super().__contains__((fold(head)[0].lower(), fold(tail)[0].lower()))

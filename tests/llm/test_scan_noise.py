@@ -1,7 +1,9 @@
 """Scan noise: the trie search against brute force, detection and repair on small streams."""
 
+import random
 
 import pytest
+from regatlas.llm import misreadings as mr
 from regatlas.llm import scan_noise as sn
 
 SCHEMA = "block_id long, doc_file string, pos int, type string, text string, text_level int, page_idx int, table_body string, field string, word string, n int"
@@ -12,26 +14,41 @@ def blocks(spark, rows):
     return spark.createDataFrame(out, SCHEMA)
 
 
-def misread(word, edits):
-    """All strings that ``word`` is misread as with exactly ``edits`` edits at different places."""
-    if not word:
-        return {""} if edits == 0 else set()
-    out = {word[0] + rest for rest in misread(word[1:], edits)}
-    if edits:
-        out |= {seen + rest for true, seen in sn.MISREADINGS if word.startswith(true) for rest in misread(word[len(true) :], edits - 1)}
-    return out
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j - 1] + (x != y), new[-1] + 1, row[j] + 1))
+        row = new
+    return row[-1]
 
 
-def test_trie_finds_every_candidate():
-    words = {"posted": 9, "oldest": 9, "parity": 9, "drives": 9, "modern": 9, "clear": 9, "dear": 9, "bar": 9}
-    trie = sn.Trie(words)
-    reach = {}
-    for word in words:
-        for edits in (2, 1, 0):
-            for token in misread(word, edits):
-                reach.setdefault(token, {})[word] = edits
-    for token in sorted(reach):
-        assert dict(trie.near(token, 2)) == {w: e for w, e in reach[token].items() if e}
+def test_candidates_are_complete(spark):
+    """Every word within the distance is found through the shared segments: against all pairs."""
+    rng = random.Random(7)
+    some = lambda n: sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 11))) for _ in range(n)})
+    words = [*some(150), "register", "controller", "interrupt", "address"]
+    tokens = [*some(80), "regixter", "regster", "regisster", "cnntroller", "contrnller", "intenupt", "äöü"]
+    frame = lambda xs: spark.createDataFrame([(x, 1) for x in xs], "word string, n long")
+    got = {(r.word, r.candidate): r.distance for r in mr.candidates(frame(tokens), frame(words)).collect()}
+    want = {(t, w): d for t in tokens for w in words if 0 < (d := distance(t, w)) <= mr.distance_allowed(len(t))}
+    assert got == want
+
+
+@pytest.mark.parametrize(
+    ("true", "seen", "cost"),
+    [("packed", "pocked", 1), ("modern", "rnodern", 1), ("during", "diiring", 1), ("during", "dijring", 2), ("posted", "po5fed", 2), ("register", "regixter", 3), ("resets", "reset", None), ("latter", "letter", None), ("same", "same", 0)],
+)
+def test_shape_cost(true, seen, cost):
+    assert mr.shape_cost(true, seen, mr.cost_allowed(len(seen))) == cost
+
+
+def test_word_filter_holds_every_word(spark):
+    words = [f"w{i}é" for i in range(5000)]
+    held = mr.word_filter(spark.createDataFrame([(w,) for w in words], "word string"))
+    assert all(w in held for w in words) and sum(f"x{i}" in held for i in range(5000)) < 500
+    assert "x" not in mr.word_filter(spark.createDataFrame([], "word string"))
 
 
 @pytest.mark.parametrize(("token", "want"), [("Ox1F", "0x1F"), ("0xl3O", "0x130"), ("3l", "31"), ("0x1F", None), ("42", None), ("Is", None), ("USB2", None), ("S5", "55"), ("0xSO", "0x50")])
@@ -43,7 +60,7 @@ CLEAN = "the level shifter validates the packed header and the self clearing cop
 
 
 def noise(spark, rows):
-    base = [{"text": CLEAN, "doc": f"x{i}"} for i in range(40)]
+    base = [{"text": CLEAN, "doc": f"x{i}"} for i in range(60)]
     got = sn.scan_noise(blocks(spark, [*rows, *base]))
     assert got.columns == ["block_id", "field", "noise"]
     return {tuple(r) for r in got.collect()}
@@ -68,7 +85,7 @@ def test_detection(spark):
 
 
 def test_repair(spark):
-    base = [{"text": CLEAN, "doc": f"x{i}"} for i in range(40)]
+    base = [{"text": CLEAN, "doc": f"x{i}"} for i in range(60)]
     rows = [
         {"text": "the level shif-\n  ter validates\nthe self-\nclearing copy.\nChapter 1\nThe pocked\nhea-", "doc": "a"}, {"text": "der and the trace\nport", "doc": "a"}, {"type": "footer", "text": "Chapter 9", "doc": "a"},
         {"type": "table", "table": "<table><tr><td>&lt;3l&gt;</td><td>trace po-<br>rt</td></tr></table>", "doc": "a"},
@@ -92,9 +109,45 @@ def test_neighbours_across_spans(spark):
 
 
 def test_capital_taken_for_a_small_letter(spark):
-    base = [{"text": CLEAN + " clock and optional translation", "doc": f"x{i}"} for i in range(40)]
+    base = [{"text": CLEAN + " clock and optional translation", "doc": f"x{i}"} for i in range(120)]
     rows = [{"text": "the cIock drives", "doc": "a"}, {"text": "an optionaI port", "doc": "b"}, {"text": "CIock and TransIation", "doc": "c"}, {"text": "the CIOCK at 5 MHz for IOs, SoC and txData", "doc": "d"}]
     df = blocks(spark, rows + base)
     assert {tuple(r) for r in sn.scan_noise(df).collect()} == {(i, "text", "misread") for i in range(3)}
     got = {r.block_id: r.repaired for r in sn.repaired_texts(df).collect()}
     assert [got[i] for i in range(3)] == ["the clock drives", "an optional port", "Clock and Translation"]
+
+
+SOUND = [
+    "Буфер очищается перед новой передачей.", "Ο καταχωρητής μηδενίζεται.", "Der Zähler übernimmt den ältesten Eintrag.", "时钟关闭期间，事件路由器丢弃当前描述符。", "cooperative naïve coöperative x̂ ﬁne a\u200bb",
+    "fields: A & B < C; 0x1F; CRC-\nSEED", "",
+]
+
+
+def test_sound_text_of_any_script_is_unchanged(spark):
+    rows = [{"text": t} for t in SOUND] + [{"type": "table", "table": f"<table><tr><td>{t} <b>x</b> &lt;y&gt;</td></tr></table>"} for t in SOUND]
+    got = {(r.block_id, r.field): r.repaired for r in sn.repaired_texts(blocks(spark, rows + [{"text": CLEAN}] * 60)).collect()}
+    for i, t in enumerate(SOUND):
+        if t:
+            assert got[(i, "text")] == t.replace("\n", " ")
+        assert got[(i + len(SOUND), "table_body")] == rows[i + len(SOUND)]["table"]
+
+
+def test_blocks_of_furniture_are_passed_over(spark):
+    rows = [
+        {"type": "header", "text": "Chapter 9: DEMO", "pos": 1}, {"text": "the level shif-", "pos": 2}, {"text": "Chapter 7: DEMO", "pos": 3}, {"text": "ter, which validates", "pos": 4},
+        {"text": "wholly other words here.", "pos": 70},
+    ]
+    df = blocks(spark, rows + [{"text": CLEAN, "doc": f"x{i}"} for i in range(60)])
+    assert {tuple(r) for r in sn.scan_noise(df).collect()} == {(1, "text", "hyphen"), (2, "text", "running")}
+    got = {r.block_id: r.repaired for r in sn.repaired_texts(df).collect()}
+    assert [got[i] for i in (1, 2, 3, 4)] == ["the level shifter,", "", "which validates", "wholly other words here."]
+
+
+def test_page_numbers_by_the_document_s_offset(spark):
+    feet = [{"type": "footer", "text": f"Rev D | {p + 109}", "page": p, "doc": "a"} for p in range(4)]
+    rows = [
+        {"text": "114\nthe copy", "page": 5, "doc": "a"}, {"text": "the copy\n5", "page": 5, "doc": "a"}, {"text": "~~ 112 " + "~" * 80, "page": 3, "doc": "a"}, {"text": "Page iv", "page": 3, "doc": "b"},
+        {"text": "- ii -", "page": 1, "doc": "c"}, {"text": "- iii -", "page": 2, "doc": "c"}, {"text": "MIX", "page": 2, "doc": "c"}, {"text": "six\n第 5 页", "page": 2, "doc": "d"},
+    ]
+    got = {r.block_id for r in sn.scan_noise(blocks(spark, rows + feet)).collect()}
+    assert got == {0, 2, 3, 4, 5, 7}
