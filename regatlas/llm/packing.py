@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import base64
+import bisect
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import window as W
 
+from ..operators.chunk import numbered
 from ..session import cut
 
-#: Parts that a size class is ranked in; items to a shard of a bulk fill; mean item size, as a share of the capacity, above which containers are opened
-#: empty; volume of the smallest items that a bulk fill holds back for the gaps; share of the open items that a round must place to be worth another.
-RANK_PARTS, SHARD_ITEMS, EMPTY_ABOVE, HOLD_BACK, WORTH = 16, 50_000, 1 / 6, 0.2, 0.05
+#: Items and gaps of one budget that one sweep takes, and the most budgets that one job packs for.
+STRIPE, MOST_BUDGETS = 50_000, 1000
 
 
 def token_counts(texts: DataFrame, column: str, vocabulary: str | None = None) -> DataFrame:
@@ -38,147 +40,123 @@ def token_counts(texts: DataFrame, column: str, vocabulary: str | None = None) -
     return texts.withColumn("tokens", count(column))
 
 
-def split_items(items: DataFrame, capacities: DataFrame) -> DataFrame:
-    """``(budget_id, capacity, item, piece, size)``: each item for each budget, cut only where it exceeds the capacity."""
-    pieces = F.ceil(F.col("size") / F.col("capacity")).cast("int")
-    rows = items.crossJoin(F.broadcast(capacities)).select("budget_id", "capacity", "item", "size", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"))
-    return rows.withColumn("size", F.least("capacity", F.col("size") - F.col("piece") * F.col("capacity")).cast("int"))
+def split_items(items: DataFrame, capacities: list[tuple[int, int]]) -> DataFrame:
+    """``items(..., size)`` once for each of ``capacities`` (budget, capacity): ``budget_id, capacity, piece`` and the piece's
+    ``size``; an item is cut only where it exceeds the capacity."""
+    budgets = F.array(*[F.struct(F.lit(b).cast("int").alias("budget_id"), F.lit(c).cast("int").alias("capacity")) for b, c in capacities])
+    each = items.withColumn("_budget", F.explode(budgets)).select("*", "_budget.*").drop("_budget")
+    pieces = each.withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / F.col("capacity")).cast("int") - 1)))
+    return pieces.withColumn("size", F.least("capacity", F.col("size") - F.col("piece") * F.col("capacity")).cast("int"))
 
 
-KEYS = ["budget_id", "kind", "value"]
+def best_fit(sizes: list[int], gaps: list[int], capacity: int) -> tuple[list[int], list[int]]:
+    """Sweep over ``sizes``, which fall: each takes its successor among the gaps, the smallest that holds it, or a new container.
 
-
-def _ranked(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rank of each element within (budget, kind, value), without putting a frequent value into one task."""
-    before = W.Window.partitionBy(*KEYS).orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)
-    offsets = sizes.select(*KEYS, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    own = F.row_number().over(W.Window.partitionBy(*KEYS, "part").orderBy("id"))
-    return rows.withColumn("own", own).join(offsets, [*KEYS, "part"]).withColumn("rank", F.col("own") + F.col("offset")).drop("own", "offset", "part")
-
-
-def best_fit_round(elements: DataFrame) -> DataFrame:
-    """One superstep: each item takes the smallest free gap that holds it, larger items first, one item a container.
-
-    ``elements(budget_id, kind, id, value)``: ``kind`` 0 are containers with their gap, 1 items with their size. Sorted by
-    falling value, gaps before items, gaps are pushed and items pop the latest gap: that is the successor in size among
-    the free gaps. The stack's height at each value follows from running sums over the classes of equal value (at most as
-    many as the capacity); rank within the class gives each element its height, and elements of one height alternate. So
-    neighbours at one height are matched, whatever the number of rows. Returns the elements with ``gap_id``/``item_size``
-    of the match: for an item its container, for a container the size that it takes; null where there is none.
+    Containers are numbered: first those of ``gaps``, then new ones. Returns the container of each size and all gaps left.
     """
-    rows = elements.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(RANK_PARTS)).cast("int"))
-    sizes = rows.groupBy(*KEYS, "part").agg(F.count(F.lit(1)).alias("n"))
-    many = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
-    classes = sizes.groupBy("budget_id", "value").agg(many(0).alias("gaps"), many(1).alias("items"))
-    down = W.Window.partitionBy("budget_id").orderBy(F.desc("value"))
-    upto = down.rowsBetween(W.Window.unboundedPreceding, 0)
-    sums = classes.withColumn("sum", F.sum(F.col("gaps") - F.col("items")).over(upto))
-    height = sums.withColumn("after", F.col("sum") - F.least(F.lit(0), F.min("sum").over(upto)))
-    height = height.select("budget_id", "value", "gaps", F.coalesce(F.lag("after").over(down), F.lit(0)).alias("before"))
-    placed = _ranked(rows, sizes).join(height, ["budget_id", "value"])
-    level = F.when(F.col("kind") == 0, F.col("before") + F.col("rank")).otherwise(F.col("before") + F.col("gaps") - F.col("rank") + 1)
-    placed = placed.select("budget_id", "kind", "id", "value", level.alias("level"))
-    alike = W.Window.partitionBy("budget_id", "level").orderBy(F.desc("value"), "kind")
-    meets = placed.where("level > 0").select(
-        "budget_id", "kind", "id", "value",
-        F.when((F.col("kind") == 1) & (F.lag("kind").over(alike) == 0), F.lag("id").over(alike)).alias("gap_id"),
-        F.when((F.col("kind") == 0) & (F.lead("kind").over(alike) == 1), F.lead("value").over(alike)).alias("item_size"),
-    )
-    alone = placed.where("level <= 0").select("budget_id", "kind", "id", "value", F.lit(None).cast("long").alias("gap_id"), F.lit(None).cast("int").alias("item_size"))
-    return meets.unionByName(alone)
-
-
-def _bulk_fill(items: DataFrame, generation: int, shards: dict[int, int], hold: dict[int, int], capacity: dict[int, int]) -> DataFrame:
-    """Fill new containers with items one after the other, by running sums within shards; ``gap_id`` null where an item
-    would cross a container's end or is held back."""
-    lookup = lambda d: F.create_map(*[F.lit(x) for k, v in d.items() for x in (k, v)])[F.col("budget_id")]
-    rows = items.withColumn("held", F.col("value") <= lookup(hold)).withColumn("shard", F.pmod(F.xxhash64("id", F.lit(generation)), lookup(shards)).cast("long"))
-    run = W.Window.partitionBy("budget_id", "held", "shard").orderBy(F.xxhash64("id"), "id").rowsBetween(W.Window.unboundedPreceding, 0)
-    end = F.sum(F.col("value").cast("long")).over(run)
-    cap = lookup(capacity)
-    rows = rows.withColumn("end", end)
-    first, last = F.floor((F.col("end") - F.col("value")) / cap), F.floor((F.col("end") - 1) / cap)
-    number = F.shiftleft(F.lit(generation).cast("long"), 52) + F.shiftleft(F.col("shard"), 32) + last
-    return rows.select("budget_id", "id", "value", F.when(~F.col("held") & (first == last), number).alias("gap_id"))
+    free: dict[int, list[int]] = {}  # containers by their gap
+    for at, gap in enumerate(gaps):
+        free.setdefault(gap, []).append(at)
+    order, left, out = sorted(free), list(gaps), []
+    for size in sizes:
+        i = bisect.bisect_left(order, size)
+        if i < len(order):
+            gap = order[i]
+            at = free[gap].pop()
+            if not free[gap]:
+                del free[gap]
+                order.pop(i)
+        else:
+            gap, at = capacity, len(left)
+            left.append(capacity)
+        left[at] = rest = gap - size
+        if rest:
+            if rest in free:
+                free[rest].append(at)
+            else:
+                free[rest] = [at]
+                bisect.insort(order, rest)
+        out.append(at)
+    return out, left
+
+
+def _sweep(names: list[str], round_no: int):  # noqa: ANN202
+    """Sweep of one stripe. Items of a new container that is at least half empty are given back, unless ``last``."""
+
+    def sweep(rows: pa.Table) -> pa.Table:
+        budget, capacity, stripe, last = (rows.column(c)[0].as_py() for c in ("budget_id", "capacity", "stripe", "last"))
+        rows = rows.sort_by([("size", "descending"), ("number", "ascending")])
+        gaps, items = rows.filter(pc.field("kind") == 0), rows.filter(pc.field("kind") == 1)
+        at, left = best_fit(items.column("size").to_pylist(), gaps.column("size").to_pylist(), capacity)
+        ids = gaps.column("container").to_pylist() + [f"{round_no}.{stripe}.{i}" for i in range(len(left) - len(gaps))]
+        again = set() if last else {i for i in range(len(gaps), len(left)) if 2 * left[i] >= capacity}
+        placed = items.set_column(items.schema.get_field_index("container"), "container", pa.array([None if i in again else ids[i] for i in at], pa.string()))
+        open_ = [i for i, gap in enumerate(left) if gap and i not in again]
+        known = {"budget_id": [budget] * len(open_), "capacity": [capacity] * len(open_), "kind": [0] * len(open_), "size": [left[i] for i in open_], "container": [ids[i] for i in open_]}
+        rest = pa.table({c: pa.array(known[c], placed.schema.field(c).type) if c in known else pa.nulls(len(open_), placed.schema.field(c).type) for c in names})
+        return pa.concat_tables([placed.select(names), rest])
+
+    return sweep
 
 
 def pack(pieces: DataFrame) -> DataFrame:
-    """``(budget_id, id, size, container)`` for ``pieces(budget_id, capacity, id, size)`` with 0 < size <= capacity.
-
-    ``id`` tells a budget's pieces apart. Every piece is placed exactly once and no container exceeds its capacity. Pieces
-    as large as the capacity get a container of their own. Then rounds follow: all open containers take their best-fitting
-    items at once (best_fit_round); where a budget's round places too few, new containers open: empty ones when items are
-    large, else filled in bulk while the smallest items are held back for the gaps. Only sums per budget reach the driver.
-    An empty input gives an empty result.
+    """``pieces(budget_id, capacity, size, ...)``, 0 < size <= capacity, with the ``container`` of each.
+
+    Every piece is placed exactly once and no container exceeds its capacity. In each superstep the open items and gaps of a
+    budget are sorted by size over range partitions and dealt by rank into stripes of at most STRIPE elements, so that each
+    stripe has the same mixture; all stripes are swept at once: larger items go first, each takes its successor among the
+    stripe's gaps, and of two that want one gap the one of higher rank has it; gaps are updated in place, and where none
+    holds the item a container opens. Then each stripe gives back the items of its containers that stayed half empty, and the
+    next superstep packs these with the gaps of all stripes, over at most half as many stripes, until one is left. One stripe
+    is plain best-fit decreasing. Nothing but the number of elements per budget reaches the driver. An empty input gives an
+    empty result.
     """
-    spark = pieces.sparkSession
-    capacity = {r.budget_id: r.capacity for r in pieces.select("budget_id", "capacity").distinct().collect()}
-    out = pieces.where("size = capacity").select("budget_id", "id", "size", F.concat(F.lit("whole-"), F.col("id")).alias("container"))
-    items = pieces.where("size < capacity").select("budget_id", "id", F.col("size").alias("value"))
-    empty_bins = spark.createDataFrame([], "budget_id int, id long, value int")
-    bins, last_placed, generation = empty_bins, {}, 0
-    facts = (F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum"), F.min("value").alias("least"))
-    sums = {r.budget_id: r for r in items.groupBy("budget_id").agg(*facts).collect()}
-    have: dict[int, int] = {}
-    while sums:
-        empty = [b for b, s in sums.items() if s.sum > s.n * EMPTY_ABOVE * capacity[b]]
-        stuck = [b for b, s in sums.items() if not have.get(b) or last_placed.get(b, 1.0) < WORTH]
-        generation += 1
-        if fill := [b for b in stuck if b not in empty]:
-            hold = {b: 0 for b in fill}
-            by_size = items.where(F.col("budget_id").isin(fill)).groupBy("budget_id", "value").agg(F.sum("value").alias("volume"))
-            up = W.Window.partitionBy("budget_id").orderBy("value")
-            small = by_size.withColumn("upto", F.sum("volume").over(up)).withColumn("all", F.sum("volume").over(W.Window.partitionBy("budget_id")))
-            for r in small.where(F.col("upto") <= F.col("all") * HOLD_BACK).groupBy("budget_id").agg(F.max("value").alias("most")).collect():
-                if sums[r.budget_id].sum >= 8 * capacity[r.budget_id]:
-                    hold[r.budget_id] = r.most
-            shards = {b: 1 + sums[b].n // SHARD_ITEMS for b in fill}
-            laid = cut(_bulk_fill(items.where(F.col("budget_id").isin(fill)), generation, shards, hold, {b: capacity[b] for b in fill}))
-            done = laid.where("gap_id IS NOT NULL")
-            out = out.unionByName(done.select("budget_id", "id", F.col("value").alias("size"), F.concat(F.lit("c-"), F.col("gap_id")).alias("container")))
-            cap = F.create_map(*[F.lit(x) for b in fill for x in (b, capacity[b])])[F.col("budget_id")]
-            opened = done.groupBy("budget_id", F.col("gap_id").alias("id")).agg(F.sum("value").alias("used")).select("budget_id", "id", (cap - F.col("used")).cast("int").alias("value"))
-            bins = bins.unionByName(opened.where("value > 0"))
-            items = items.where(~F.col("budget_id").isin(fill)).unionByName(laid.where("gap_id IS NULL").select("budget_id", "id", "value"))
-            kept = {r.budget_id: r for r in laid.where("gap_id IS NULL").groupBy("budget_id").agg(*facts).collect()}
-            sums = {b: kept.get(b) if b in fill else r for b, r in sums.items()}
-            sums = {b: r for b, r in sums.items() if r}
-        for b in (b for b in stuck if b in empty and b in sums):
-            count = -(-sums[b].sum // capacity[b])
-            start = (generation << 52) + (b << 40)
-            bins = bins.unionByName(spark.range(start, start + count).select(F.lit(b).cast("int").alias("budget_id"), "id", F.lit(capacity[b]).cast("int").alias("value")))
-        if not sums:
-            break
-        elements = items.select("budget_id", F.lit(1).alias("kind"), "id", "value").unionByName(bins.select("budget_id", F.lit(0).alias("kind"), "id", "value"))
-        met = cut(best_fit_round(elements))
-        done = met.where("kind = 1 AND gap_id IS NOT NULL")
-        out = out.unionByName(done.select("budget_id", "id", F.col("value").alias("size"), F.concat(F.lit("c-"), F.col("gap_id")).alias("container")))
-        state = met.groupBy("budget_id", "kind", F.coalesce("gap_id", "item_size").isNotNull().alias("met")).agg(*facts).collect()
-        placed = {r.budget_id: r.n for r in state if r.kind == 1 and r.met}
-        last_placed = {b: placed.get(b, 0) / s.n for b, s in sums.items()}
-        have = {r.budget_id: 1 for r in state if r.kind == 0}
-        least = F.create_map(*[F.lit(x) for b, s in sums.items() for x in (b, s.least)])[F.col("budget_id")]
-        gaps = met.where("kind = 0").select("budget_id", "id", (F.col("value") - F.coalesce("item_size", F.lit(0))).cast("int").alias("value"))
-        bins = gaps.where((F.col("value") > 0) & (F.col("value") >= least))
-        items = met.where("kind = 1 AND gap_id IS NULL").select("budget_id", "id", "value")
-        sums = {r.budget_id: r for r in state if r.kind == 1 and not r.met}
-    return out
+    own = [c for c in pieces.columns if c not in ("budget_id", "capacity", "size")]
+    names = ["budget_id", "capacity", "kind", "size", "container", *own]
+    kind = {f.name: f.dataType.simpleString() for f in pieces.schema} | {"kind": "int", "container": "string"}
+    schema = ", ".join(f"`{c}` {kind[c]}" for c in names)
+    whole = F.col("size") >= F.col("capacity")
+    out = pieces.where(whole).withColumn("container", F.concat_ws(".", F.lit("whole"), *[F.col(c).cast("string") for c in own])).select("budget_id", "size", "container", *own)
+    elements = pieces.where(~whole).withColumn("kind", F.lit(1)).withColumn("container", F.lit(None).cast("string")).select(*names)
+    most: dict[int, int] = {}
+    round_no = 0
+    while True:
+        stripes = {r.budget_id: -(-r.n // STRIPE) for r in elements.groupBy("budget_id").agg(F.count(F.lit(1)).alias("n"), F.sum("kind").alias("items")).collect() if r["items"]}
+        if not stripes:
+            return out
+        stripes = {b: max(1, min(n, most.get(b, n))) for b, n in stripes.items()}
+        many, last = _by_budget(stripes), _by_budget({b: int(n == 1) for b, n in stripes.items()}) == 1
+        ranked = numbered(elements.where(F.col("budget_id").isin(list(stripes))), ["budget_id", "kind", "size", *own], "number")
+        dealt = ranked.withColumn("stripe", F.pmod("number", many).cast("int")).withColumn("last", last)
+        met = cut(dealt.groupBy("budget_id", "stripe").applyInArrow(_sweep(names, round_no), schema))
+        out = out.unionByName(met.where("kind = 1 AND container IS NOT NULL").select("budget_id", "size", "container", *own))
+        again = met.where("kind = 1 AND container IS NULL")
+        least = again.groupBy("budget_id").agg(F.min("size").alias("least"))
+        elements = again.unionByName(met.where("kind = 0").join(least, "budget_id").where("size >= least").select(*names))
+        most, round_no = {b: n // 2 for b, n in stripes.items()}, round_no + 1
+
+
+def _by_budget(values: dict[int, int]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("budget_id")]
 
 
 def pack_documents(documents: DataFrame, budgets: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``(budget_id, container, doc_id, text_key, piece, size)``: every non-empty text in containers of each budget.
 
     Repeated rows count once; two texts under one ``doc_id`` are two items (``text_key`` tells them apart); null and empty
-    texts hold no token. A null or non-positive capacity is no budget. Empty tables give an empty result.
+    texts hold no token. A null or non-positive capacity is no budget; more than MOST_BUDGETS budgets are refused. Empty
+    tables give an empty result. Texts are sized where they are read; only their keys and sizes are shuffled.
     """
-    texts = documents.select("doc_id", "text").where("text <> ''").withColumn("text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "text_key"])
-    sized = token_counts(texts, "text", vocabulary).where("tokens > 0")
-    items = sized.select(F.struct("doc_id", "text_key").alias("item"), F.col("tokens").alias("size"))
-    caps = budgets.where("capacity > 0").select("budget_id", "capacity").dropDuplicates(["budget_id"])
-    pieces = cut(split_items(items, caps).withColumn("id", F.xxhash64("item.doc_id", "item.text_key", "piece")))
-    packed = pack(pieces.select("budget_id", "capacity", "id", "size"))
-    named = pieces.select("budget_id", "id", "item.doc_id", "item.text_key", "piece")
-    return packed.join(named, ["budget_id", "id"]).select("budget_id", "container", "doc_id", "text_key", "piece", "size")
+    caps = budgets.where("capacity > 0 AND budget_id IS NOT NULL").groupBy("budget_id").agg(F.min("capacity").alias("capacity")).orderBy("budget_id").limit(MOST_BUDGETS + 1).collect()
+    if len(caps) > MOST_BUDGETS:
+        raise ValueError(f"more than {MOST_BUDGETS} budgets")
+    if not caps:
+        caps = [(0, 1)]
+        documents = documents.where("false")
+    sized = token_counts(documents.select("doc_id", "text").where("text <> ''"), "text", vocabulary).where("tokens > 0")
+    items = cut(sized.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("tokens").alias("size")).distinct())
+    packed = pack(split_items(items, [tuple(c) for c in caps]))
+    return packed.select("budget_id", "container", "doc_id", "text_key", "piece", "size")
 
 
 def packing_report(assignment: DataFrame, budgets: DataFrame) -> DataFrame:
@@ -186,3 +164,16 @@ def packing_report(assignment: DataFrame, budgets: DataFrame) -> DataFrame:
     full = assignment.groupBy("budget_id", "container").agg(F.count(F.lit(1)).alias("pieces"), F.sum("size").alias("used"))
     sums = full.groupBy("budget_id").agg(F.count(F.lit(1)).alias("containers"), F.sum("pieces").alias("pieces"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"))
     return sums.join(budgets.select("budget_id", "capacity").distinct(), "budget_id").withColumn("unused", 1 - F.col("tokens") / (F.col("containers") * F.col("capacity")))
+
+
+def packing_faults(assignment: DataFrame, budgets: DataFrame) -> DataFrame:
+    """``(budget_id, texts, overfull, cut_needlessly, repeated)``: texts placed, containers above their capacity, texts in several
+    pieces that would fit one container, pieces placed twice."""
+    caps = budgets.select("budget_id", "capacity").distinct()
+    full = assignment.groupBy("budget_id", "container").agg(F.sum("size").alias("used")).join(caps, "budget_id")
+    over = full.groupBy("budget_id").agg(F.count_if(F.col("used") > F.col("capacity")).alias("overfull"))
+    whole = assignment.groupBy("budget_id", "doc_id", "text_key").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.count_distinct("piece").alias("pieces")).join(caps, "budget_id")
+    texts = whole.groupBy("budget_id").agg(
+        F.count(F.lit(1)).alias("texts"), F.count_if((F.col("n") > 1) & (F.col("size") <= F.col("capacity"))).alias("cut_needlessly"), F.sum(F.col("n") - F.col("pieces")).alias("repeated")
+    )
+    return texts.join(over, "budget_id").select("budget_id", "texts", "overfull", "cut_needlessly", "repeated")

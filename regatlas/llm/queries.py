@@ -53,6 +53,10 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(p6_assignment(spark, sf_dir), table(spark, sf_dir, "pack_budgets"))
 
 
+def p6_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_faults(p6_assignment(spark, sf_dir), table(spark, sf_dir, "pack_budgets"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(table(spark, sf_dir, "eval_items"), table(spark, sf_dir, "documents")).select("item_id", "doc_id").distinct()
 
@@ -69,7 +73,7 @@ def p8_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p4_found": p4_found, "p4_canonical": p4_canonical, "p6_assignment": p6_assignment, "p6_report": p6_report, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_reasons": p8_reasons}
+QUERIES = {"p3_found": p3_found, "p3_repaired": p3_repaired, "p5_found": p5_found, "p5_lines": p5_lines, "p5_clean": p5_clean, "p4_found": p4_found, "p4_canonical": p4_canonical, "p6_assignment": p6_assignment, "p6_report": p6_report, "p6_faults": p6_faults, "p7_found": p7_found, "p7_report": p7_report, "p8_found": p8_found, "p8_reasons": p8_reasons}
 
 _LINES = r"""
 lines AS (
@@ -92,6 +96,8 @@ SQL = {
   SELECT 'acme_content_list' AS src, block_id AS row_key, text FROM acme_content_list UNION ALL SELECT 'knowledge', record_id, register_name FROM knowledge
 ) WHERE regexp_matches(text, '{_ALWAYS}|{_MIXED}')""",
     "p5_found": f"WITH {_LINES} SELECT DISTINCT block_id, line_no::INT AS line_no FROM lines JOIN often USING (source, norm)",
+    "p6_faults": """SELECT budget_id, texts, 0 AS overfull, 0 AS cut_needlessly, 0 AS repeated FROM pack_budgets,
+  (SELECT count(*) AS texts FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text <> ''))""",
     "p5_lines": f"WITH {_LINES} SELECT source, norm, n_documents FROM often",
     "p5_clean": f"""WITH {_LINES} SELECT block_id, source, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE o.norm IS NULL), '') AS clean_text,
 count(*) FILTER (WHERE o.norm IS NOT NULL) AS removed FROM lines LEFT JOIN often o USING (source, norm) GROUP BY ALL""",
