@@ -33,10 +33,12 @@ OFFSET_SHARE = 0.01
 SPAN = 4096
 
 _FOLD = {**LETTERS, **FULL_WIDTH, **LIGATURES, **dict.fromkeys(ZERO_WIDTH, ""), **dict.fromkeys(HARD_SPACES, " ")}
-_FOLDABLE = re.compile("[" + "".join(_FOLD) + "\u0300-\u036f]")
+_USUAL = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\uff21-\uff3a\uff41-\uff5a\ufb00-\ufb06"
+_LOOK = "".join(LETTERS)
+_FOLDS = re.compile(rf"[{''.join(c for c in _FOLD if c not in LETTERS)}\u0300-\u036f]|[{_USUAL}]\w*[{_LOOK}]|[{_LOOK}]\w*[{_USUAL}]")
 _FOREIGN = frozenset(LETTERS)
 _WORD = re.compile(rf"[\ẁ-ͯ{ZERO_WIDTH}]+")
-_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏＡ-Ｚａ-ｚﬀ-ﬆ]")
+_LATIN = re.compile(f"[{_USUAL}]")
 _TOKEN = re.compile(r"[^\W_㐀-鿿]+(?:_[^\W㐀-鿿]*)*")
 _MAY_BREAK = re.compile(rf"[{BREAK_MARKS}]\s*(?:\n|$|<(?i:br))")
 _BROKEN = re.compile(rf"([^\W\d_]+)([{BREAK_MARKS}])\s*$")
@@ -44,6 +46,7 @@ _GOES_ON = re.compile(r"\s*([^\W\d_]+)(\S*)")
 _HEX = re.compile(r"[0oOQ][xX][0-9A-Fa-fOoQlIi|SsZz]{1,16}")
 _TRUE_HEX = re.compile(r"0[xX][0-9A-Fa-f]+")
 _NUMBER = re.compile(r"[0-9OoQlIi|SsZz]{2,12}")
+_MAY_MISREAD = re.compile(r"[0-9][OoQlIi|SsZz]|[OoQlIi|SsZz][0-9]|[oOQ][xX]|0[xX][0-9A-Fa-f]*[OoQlIi|SsZz]")
 _CELL = r"(?i:</?(?:table|thead|tbody|tr|td|th)\b[^>]*>)"
 _CELL_TAG, _LINE_TAG, _TAG = re.compile(_CELL), re.compile(r"(?i)<br\s*/?>"), re.compile(r"(<[^>]*>)")
 
@@ -57,7 +60,7 @@ def fold(text: str) -> tuple[str, list[int] | None]:
     Only words that hold a Latin letter have letters of other scripts folded, so words wholly in another script stay as they
     are. The places are None where nothing changed; else there is one more, for the end.
     """
-    if text.isascii() or not _FOLDABLE.search(text):
+    if text.isascii() or not _FOLDS.search(text):
         return text, None
     out: list[str] = []
     places: list[int] = []
@@ -118,8 +121,14 @@ def pieces(field: str, text: str, furniture: Iterable[int] = ()) -> list[list[st
         skip = set(furniture)
         return [[x for i, x in enumerate(text.split("\n"), 1) if i not in skip]]
     if not _MAY_BREAK.search(text):
-        return [html.unescape(_TAG.sub(" ", text)).split("\n")]
-    return [html.unescape(_TAG.sub(" ", _LINE_TAG.sub("\n", c))).split("\n") for c in _CELL_TAG.split(text) if c.strip()]
+        return [_plain(text).split("\n")]
+    return [_plain(_LINE_TAG.sub("\n", c)).split("\n") for c in _CELL_TAG.split(text) if c.strip()]
+
+
+def _plain(cell: str) -> str:
+    """``cell`` without tags and entities."""
+    bare = _TAG.sub(" ", cell)
+    return html.unescape(bare) if "&" in bare else bare
 
 
 def join_lines(lines: list[str], after: str | None, before: bool, compounds: Iterable[tuple[str, str]] = ()) -> tuple[list[str], list[tuple[str, str, str]]]:
@@ -154,24 +163,43 @@ def _read_rows(batch: pa.RecordBatch, *more: str) -> Iterator[tuple]:
     yield from zip(*(batch.column(c).to_pylist() for c in ("block_id", "field", "text", "furniture", "after", "before", *more)))
 
 
+def whole_text(field: str, text: str, furniture: list[int] | None, after: str | None, before: bool) -> tuple[str, list[tuple[str, str, str]]]:
+    """A block as it is read, without furniture and with broken words made whole, and its broken words."""
+    if not (furniture or before) and not _MAY_BREAK.search(text):
+        return fold(text if field == "text" else _plain(text))[0], []
+    out, broken = [], []
+    for lines in pieces(field, text, furniture or ()):
+        lines, each = join_lines(lines, after if field == "text" else None, before)
+        out += lines
+        broken += each
+    return fold("\n".join(out))[0], broken
+
+
 def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a first reading tells, by ``kind``: ``word`` rows count the words (``n``; those broken at line ends are left out),
     ``number`` rows are blocks with a misread number, ``hyphen`` rows broken words (``word``, ``mark``, ``tail``)."""
+    judged: dict[str, str | None] = {}  # tokens in lower case, None for what is no word
     for batch in batches:
-        found: Counter = Counter()
         rows: set[tuple] = set()
+        texts, cut_up = [], []
         for block, field, text, furniture, after, before in _read_rows(batch):
-            for lines in pieces(field, text, furniture or ()):
-                whole, broken = join_lines(lines, after if field == "text" else None, before)
-                tokens = Counter(_TOKEN.findall(fold("\n".join(whole))[0]))
-                for head, mark, tail in broken:
-                    rows.add(("hyphen", block, field, fold(head)[0].lower(), mark, fold(tail)[0].lower(), 0))
-                    tokens[fold(head + tail)[0]] -= 1
-                for token, n in tokens.items():
-                    if number_misread(token):
-                        rows.add(("number", block, field, None, None, None, 0))
-                    elif n > 0 and is_suspect(token):
-                        found[token.lower()] += n
+            whole, broken = whole_text(field, text, furniture, after, before)
+            texts.append(whole)
+            for head, mark, tail in broken:
+                rows.add(("hyphen", block, field, fold(head)[0].lower(), mark, fold(tail)[0].lower(), 0))
+                cut_up.append(fold(head + tail)[0])
+            if _MAY_MISREAD.search(whole) and any(map(number_misread, _TOKEN.findall(whole))):
+                rows.add(("number", block, field, None, None, None, 0))
+        tokens = Counter(_TOKEN.findall("\n".join(texts)))
+        tokens.subtract(cut_up)
+        found: Counter = Counter()
+        if len(judged) > 500_000:
+            judged.clear()
+        for token, n in tokens.items():
+            if token not in judged:
+                judged[token] = token.lower() if is_suspect(token) and not number_misread(token) else None
+            if n > 0 and judged[token]:
+                found[judged[token]] += n
         cols = list(zip(*rows, *(("word", None, None, w, None, None, n) for w, n in found.items()))) or [[]] * 7
         kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["kind", "block_id", "field", "word", "mark", "tail", "n"])
@@ -321,15 +349,18 @@ def _occurrences(scanned: DataFrame, misread: DataFrame, contexts: bool) -> Data
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = [(block, field, whole_text(field, text, furniture, after, before)[0]) for block, field, text, furniture, after, before in _read_rows(batch)]
+            said = {t: t.lower() for t in set(_TOKEN.findall("\n".join(text for _, _, text in rows))) if is_suspect(t) and t.lower() in wrong}
             out = set()
-            for block, field, text, furniture, after, before in _read_rows(batch):
-                for lines in pieces(field, text, furniture or ()):
-                    tokens = _TOKEN.findall(fold("\n".join(join_lines(lines, after if field == "text" else None, before)[0]))[0])
-                    if not contexts:
-                        out.update((block, field, low, None, None) for t in set(tokens) if (low := t.lower()) in wrong and is_suspect(t))
-                        continue
-                    low = [t.lower() for t in tokens]
-                    out.update((block, field, w, low[i - 1] if i else "", low[i + 1] if i + 1 < len(low) else "") for i, w in enumerate(low) if w in wrong and is_suspect(tokens[i]))
+            for block, field, text in rows if said else ():
+                tokens = _TOKEN.findall(text)
+                if said.keys().isdisjoint(tokens):
+                    continue
+                if not contexts:
+                    out.update((block, field, said[t], None, None) for t in said.keys() & set(tokens))
+                    continue
+                low = ["", *map(str.lower, tokens), ""]
+                out.update((block, field, low[i], low[i - 1], low[i + 1]) for i, t in enumerate(tokens, 1) if t in said)
             cols = list(zip(*out)) or [[]] * 5
             kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["block_id", "field", "word", "left", "right"])
@@ -430,10 +461,9 @@ def repaired_texts(blocks: DataFrame) -> DataFrame:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter = Counter()
-            for _, field, text, furniture, after, before in _read_rows(batch):
-                for lines in pieces(field, text, furniture or ()):
-                    low = [t.lower() for t in _TOKEN.findall(fold("\n".join(join_lines(lines, after if field == "text" else None, before)[0]))[0])]
-                    found.update(f"{a} {b}" for a, b in zip(low, low[1:]))
+            for _, *block in _read_rows(batch):
+                low = _TOKEN.findall(whole_text(*block)[0].lower())
+                found.update(f"{a} {b}" for a, b in zip(low, low[1:]))
             rows = [(p, n) for p, n in found.items() if p in wanted]
             cols = list(zip(*rows)) or [[]] * 2
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64())], ["pair", "pair_n"])
