@@ -31,15 +31,31 @@ def test_random_copies(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
-def test_chunks_are_cut_by_content():
-    def run(keys):
-        rows = pa.RecordBatch.from_pydict({"side": ["l"] * len(keys), "key_hash": keys, "row_hash": [str(k).encode() for k in keys]})
-        return [c for b in chunk_rows(iter([rows])) for c in b.column("chunk").to_pylist()]
+def chunks_of(sides, keys, batch=None):
+    rows = pa.RecordBatch.from_pydict({"side": pa.array(sides, pa.string()), "key_hash": pa.array(keys, pa.int64()), "row_hash": pa.array(keys, pa.int64()), "row_hash_2": pa.array([k >> 3 for k in keys], pa.int64())})
+    batches = [rows.slice(i, batch) for i in range(0, len(keys), batch)] if batch else [rows]
+    out = [r for b in chunk_rows(iter(batches)) for r in zip(b.column("side").to_pylist(), b.column("key_hash").to_pylist(), b.column("chunk").to_pylist())]
+    assert [r[:2] for r in out] == list(zip(sides, keys))
+    return [r[2] for r in out]
+
 
+def test_chunks_are_cut_by_content():
     rng = random.Random(1)
     keys = [rng.getrandbits(60) for _ in range(3000)]
-    base, more = run(keys), run(keys[:1000] + [5] + keys[1000:])
-    assert len(set(base)) > 20 and len(set(base) - set(more)) <= 3
+    base, more = chunks_of(["l"] * 3000, keys), chunks_of(["l"] * 3001, keys[:1000] + [5] + keys[1000:])
+    assert len(set(base)) > 300 and len(set(base) - set(more)) <= 3
+    assert chunks_of(["l"] * 3000 + ["r"] * 3000, keys * 2)[3000:] == base
+
+
+def test_chunks_do_not_depend_on_batches():
+    rng = random.Random(2)
+    keys = [rng.getrandbits(60) for _ in range(500)] + [7] * 5000 + [rng.getrandbits(60) for _ in range(500)]
+    sides = ["l"] * 2000 + ["r"] * 4000
+    whole = chunks_of(sides, keys)
+    assert max(whole.count(c) for c in {c for c in whole}) <= 6000 and max(int(c.split(":")[0]) for c in whole) <= 1024
+    for batch in (1, 7, 1000):
+        assert chunks_of(sides, keys, batch) == whole
+    assert chunks_of([], []) == []
 
 
 def test_registers(spark):
