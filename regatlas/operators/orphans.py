@@ -17,6 +17,15 @@ from ..session import cut
 # Keys to a key range; Spark's bitmap functions hold as many bits.
 RANGE_KEYS = 32768
 NO_PERIOD = -1
+#: Parts that a key's records are dealt into where they meet what is known of the key.
+SALTS = 16
+
+
+def _salted(rows: DataFrame, few: DataFrame, on: list[str], how: str) -> DataFrame:
+    """``rows`` joined with ``few``, which has one row for each ``on``; a key that holds a third of all rows goes to SALTS tasks."""
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
+    spread = few.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return dealt.join(spread, [*on, "_salt"], how).drop("_salt")
 
 
 def _month(ts: Column) -> Column:
@@ -105,9 +114,10 @@ def orphan_references(
     means alive for ever. Repeated rows count once. Empty tables give an empty result, an empty parent
     table makes every reference ``missing``. Further columns on either side are ignored.
 
-    Scale: references shrink to distinct (key, month) before they are shuffled, so a key that holds a third of
-    all rows is a few dozen rows; bitmaps settle all references whose parent covers the month, and only the
-    rest meets parent rows: by key and day, with running counts instead of pairs.
+    Scale: references shrink to distinct (key, month) for the bitmaps, which settle all whose parent covers the month. Only
+    the rest meets parent rows: their distinct instants by key and day, with running counts instead of pairs. Where records
+    themselves are joined, those of one key are dealt into SALTS parts, so a key that holds a third of all rows has no task
+    of its own.
     """
     rec = records.select(F.col(record_id).alias("rid"), F.col(key).alias("key"), F.col(at).alias("at")).where(~blank(F.col("key")))
     rec = rec.withColumn("period", F.coalesce(_month(F.col("at")), F.lit(NO_PERIOD)))
@@ -118,7 +128,7 @@ def orphan_references(
     covering = covering.groupBy("key", "first").agg(F.when(F.count("last") == F.count(F.lit(1)), F.max("last")).alias("last"))
     open_pairs = unresolved_keys(rec.select("key", "period").distinct(), covering)
 
-    cand = cut(rec.join(open_pairs, ["key", "period"], "left_semi").distinct())
+    cand = cut(_salted(rec, open_pairs, ["key", "period"], "left_semi").distinct())
     keys = cand.select("key").distinct()
     first_seen = par.groupBy("key").agg(F.min("c").alias("first_c")).join(keys, "key", "left_semi").withColumn("known", F.lit(True))
 
@@ -145,7 +155,7 @@ def orphan_references(
     running = stream.withColumn("day", day).withColumn("n", F.sum("n").over(within)).where("q")
     alive = running.join(base, ["key", "day"]).where("base + n > 0").select("key", F.col("t").alias("at"))
 
-    lost = cand.join(alive, ["key", "at"], "left_anti").join(first_seen, "key", "left")
+    lost = _salted(_salted(cand, alive.distinct(), ["key", "at"], "left_anti"), first_seen, ["key"], "left")
     reason = F.when(F.col("known").isNull(), "missing").when(F.col("first_c") > F.col("at"), "late").otherwise("deleted")
     return lost.select(F.col("rid").alias(record_id), F.col("key").alias(key), F.col("at").alias(at), reason.alias("reason")).distinct()
 
