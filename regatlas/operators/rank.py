@@ -16,7 +16,8 @@ from ..session import cut
 # BM25 and fusion constants, length of each list, pool.
 K1, B, RRF_K, LIST, POOL, TOP = 1.5, 0.75, 60, 60, 30, 5
 # End of fixed values.
-QUERY_BLOCK = 2048
+#: Query vectors to a block; terms of all queries up to which they are broadcast.
+QUERY_BLOCK, BROADCAST_TERMS = 2048, 500_000
 
 
 def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -38,16 +39,22 @@ def _top(rows: DataFrame, n: int, *order: Column) -> DataFrame:
 def bm25_topk(docs: DataFrame, key: str, text: str, queries: DataFrame, n: int = LIST) -> DataFrame:
     """``(qid, key, score, rank)`` of the best ``n`` documents of each of ``queries(qid, query)``; only scores above 0.
 
-    A repeated query term counts repeatedly. Ties go to the lower key. Documents are tokenised once; only postings of
-    query terms are scored.
+    A repeated query term counts repeatedly. Ties go to the lower key; ``key`` is unique in ``docs``. Documents are tokenised
+    once; only postings of query terms leave the stage that reads them, as long as these are BROADCAST_TERMS at most.
     """
-    posts = cut(postings(docs, key, text))
-    n_docs, n_tokens = docs.count(), posts.agg(F.sum("tf")).first()[0] or 0
+    asked = cut(queries.select("qid", F.explode(tokenize(F.col("query"))).alias("term")).groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf")))
+    wanted = asked.select("term").distinct()
+    tokens = docs.select(key, tokenize(F.col(text)).alias("terms"))
+    rows = tokens.select(key, F.size("terms").alias("dl"), F.explode_outer("terms").alias("term"))
+    asked_terms = F.broadcast(wanted) if wanted.count() <= BROADCAST_TERMS else wanted
+    # a term of no query is dropped where its document is read; each document keeps one row for its length
+    kept = rows.join(asked_terms.withColumn("asked", F.lit(True)), "term", "left").groupBy(key, F.when(F.col("asked"), F.col("term")).alias("term")).agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
+    kept = cut(kept)
+    sizes = kept.groupBy(key).agg(F.max("dl").alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.greatest("dl", F.lit(0))).alias("tokens")).first()
+    n_docs, n_tokens = sizes.n, sizes.tokens or 0
     avgdl = n_tokens / n_docs if n_docs else 0.0
-    sizes = posts.groupBy(key).agg(F.sum("tf").alias("dl"))
-    asked = queries.select("qid", F.explode(tokenize(F.col("query"))).alias("term")).groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    wanted = posts.join(asked.select("term").distinct(), "term", "left_semi")
-    met = wanted.join(term_stats(wanted, n_docs), "term").join(sizes, key).join(asked, "term")
+    posts = kept.where("term IS NOT NULL")
+    met = posts.join(term_stats(posts, n_docs), "term").join(asked, "term")
     base = K1 * (1 - B + B * F.col("dl") / avgdl) if avgdl else F.lit(K1)
     part = F.col("qtf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + base)
     scored = met.groupBy("qid", key).agg(F.round(F.sum(part), 9).alias("score")).where("score > 0")
@@ -57,8 +64,8 @@ def bm25_topk(docs: DataFrame, key: str, text: str, queries: DataFrame, n: int =
 def dense_topk(vectors: DataFrame, key: str, vector: str, queries: DataFrame, n: int = LIST) -> DataFrame:
     """``(qid, key, score, rank)`` of the ``n`` vectors with the largest dot product with each of ``queries(qid, vector)``.
 
-    Queries go in blocks of QUERY_BLOCK against all rows as matrix products; each task keeps its best ``n`` a query, so the
-    shuffle holds tasks x queries x n rows at most. Ties go to the lower key.
+    Queries go in blocks of about QUERY_BLOCK, one after the other, against all rows as matrix products; each task keeps its
+    best ``n`` a query, so the shuffle holds tasks x queries x n rows at most. Ties go to the lower key.
     """
     total = queries.count()
     blocks = max(1, -(-total // QUERY_BLOCK))
@@ -83,6 +90,7 @@ def dense_topk(vectors: DataFrame, key: str, vector: str, queries: DataFrame, n:
             yield pd.DataFrame({"qid": np.repeat(ids, m), key: keep_k.ravel(), "score": keep_s.ravel()})
 
         part = vectors.select(F.col(key).alias("k"), F.col(vector).alias("v")).where("v IS NOT NULL").mapInPandas(best, f"qid long, {key} long, score double")
+        part = cut(part) if blocks > 1 else part  # so that the driver holds one block at a time
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = vectors.sparkSession.createDataFrame([], f"qid long, {key} long, score double")

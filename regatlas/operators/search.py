@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from ..functions import text as tx
+from ..session import cut
 
 CAP = 50
 NEEDLE_BLOCK = 50_000
@@ -18,8 +19,8 @@ NEEDLE_BLOCK = 50_000
 def containing(rows: DataFrame, key: str, hay: Column, needles: DataFrame, needle: str) -> DataFrame:
     """``(key, needle)`` of all rows whose lower-case ``hay`` contains a lower-case ``needle``.
 
-    Needles go in blocks of about NEEDLE_BLOCK into one multi-pattern automaton each, so a row is read once a block
-    instead of once a needle.
+    Needles go in blocks of about NEEDLE_BLOCK, one after the other, into one multi-pattern automaton each, so a row is
+    read once a block instead of once a needle.
     """
     distinct = needles.select(F.lower(F.col(needle)).alias("n")).where("n <> ''").distinct()
     blocks = max(1, -(-distinct.count() // NEEDLE_BLOCK))
@@ -43,6 +44,7 @@ def containing(rows: DataFrame, key: str, hay: Column, needles: DataFrame, needl
                 yield pa.RecordBatch.from_arrays([ids, pa.array([w for _, w in met], pa.string())], [key, "needle"])
 
         part = hays.mapInArrow(find, f"{key} {kind}, needle string")
+        part = cut(part) if blocks > 1 else part  # so that the driver holds one block at a time
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -66,8 +68,9 @@ def search_registers(registers: DataFrame, sections: DataFrame, queries: DataFra
     """
     hits = _hits(registers, key, tx.haystack(F.col("register_name"), F.col("description"), F.col("bit_fields")), queries)
     found = hits.join(registers.select(key, "module", "register_name", "address", "section_id"), key).where(_in_module("module", "asked_module")).drop("asked_module").distinct()
-    per = W.Window.partitionBy("qid")
-    placed = found.withColumn("place", F.row_number().over(per.orderBy(key))).withColumn("n_found", F.count(F.lit(1)).over(per)).where(F.col("place") <= cap)
+    found = cut(found)
+    first = found.withColumn("place", F.row_number().over(W.Window.partitionBy("qid").orderBy(key))).where(F.col("place") <= cap)
+    placed = first.join(found.groupBy("qid").agg(F.count(F.lit(1)).alias("n_found")), "qid")
     texts = sections.groupBy("section_id").agg(F.max_by("text", "section_row").alias("related_section"))
     return placed.join(texts, "section_id", "left").withColumn("related_section", F.coalesce("related_section", F.lit("")))
 
