@@ -24,6 +24,8 @@ FILLER = [
 ]
 ERRORS = [
     r"(?:http|error|status|code)\s*:?\s*[45]\d\d\s*(?:[-–:.!]|the\b|$)", r"^\W*[45]\d\d\b\s*[-–:.]?\s*(?:page |file |error|not |forbidden|unauthori[sz]ed|bad |service |gateway|internal |too many|gone)",
+    r"^\W*http(?:/\S+)?\s+[45]\d\d\b", r"^\W*not found\s*(?:[.!]|$)", r"^\W*(?:your )?request (?:was |has been )?(?:blocked|denied)\b", r"server (?:did|does|is) not (?:answer|respond)", r"link (?:may|might) be (?:old|broken|outdated|wrong)",
+    r"(?:page|file|document|site|content) (?:is gone|has (?:been )?(?:moved|removed|deleted)|was (?:moved|removed|deleted))\b",
     r"(?:page|file|document|url|address|site|resource|content) (?:was |could |can |is )?(?:not|no longer) (?:be )?(?:found|available|exist)\w*\s*(?:[.!,;:(|]|$|in your)",
     r"^\W*access (?:is |was )?denied\s*(?:[.!:,]|$)", r"permission to (?:view|access|open|read)", r"^\W*forbidden\s*(?:[.!:]|$)", r"(?:service|server|site|portal) (?:is )?(?:temporarily |currently )?(?:unavailable|overloaded)",
     r"bad gateway", r"gateway time-?out", r"internal server error", r"too many requests", r"for maintenance\s*(?:[.!]|$)", r"try again (?:later|in \d)", r"(?:session|login) (?:has |is )?(?:expired|timed out)",
@@ -44,7 +46,8 @@ FILLER_SIGNS = ["lorem ipsum", "dolor sit", "xx xx", " here", "placeholder text"
 NOTICE_SIGNS = [
     *(f"{word}{gap}{digit}" for word in ("http", "error", "status", "code") for gap in ("", " ", ":", ": ") for digit in "45"),
     "not found", "not be found", "not available", "not be available", "not exist", "no longer found", "no longer available", "no longer exist", "access denied", "access is denied", "access was denied", "permission to", "forbidden",
-    "unauthori", "unavailable", "overloaded", "gateway", "server error", "too many requests", "for maintenance", "try again", "expired", "has timed out", "is timed out", "session timed", "login timed", "in again", "connection was", "connection has been",
+    "unauthori", "unavailable", "overloaded", "gateway", "server error", "request blocked", "request was", "request denied", "request has been", "server did", "server does", "server is not", "link may be", "link might be", "is gone", "has moved", "has been moved", "has been removed",
+    "has been deleted", "has removed", "has deleted", "was moved", "was removed", "was deleted", "too many requests", "for maintenance", "try again", "expired", "has timed out", "is timed out", "session timed", "login timed", "in again", "connection was", "connection has been",
     "went wrong", "oops", "sorry", "failed to load", "could not load", "could not display", "could not render", "fatal e", "unexpected e", "unhandled e", "runtime e", "traceback", "please wait", "your browser", "a robot", "captcha",
     "nicht gefunden", "nicht erreichbar", "nicht verfügbar", "verweigert", "bitte warten", "abgelaufen", "не найдена", "доступ ", "недоступен", "不存在", "未找到", "无法", "找不到", "拒绝", "不可用", "内部错误", "过期", "失效", "请稍", "重新登录",
     "javascript", "java script", "cookie", "scripts", "script is", "script support", "active content", "does not support", "noscript", "skripte", "脚本",
@@ -54,7 +57,7 @@ NOTICE_SIGNS = [
 #: Texts of a host that must hold a line for it to recur; share of the host's texts, and share of these that must be sound beside it, for it to be boilerplate.
 RECURS, HOST_SHARE, SOUND_SHARE = 3, 0.01, 0.5
 #: Texts that must hold a sentence, and share of them that must be notices, for it to be learnt as one; times to learn.
-LEARN_TEXTS, LEARN_SHARE, LEARN_ROUNDS = 3, 0.8, 2
+LEARN_TEXTS, LEARN_SHARE, LEARN_ROUNDS = 3, 0.5, 2
 #: Share of the words of a text's sentences that evidence must have.
 EVIDENCE_SHARE = 1 / 6
 #: Words of a filler line; share of them that must be filler words; share of a word's lines that must hold open filler.
@@ -124,7 +127,7 @@ def host_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     text everywhere. Copies of a text count as one. Only hashes and lengths are shuffled.
     """
     lines = _lines(docs, "text_key", "source").select("text_key", "source", _line_hash(F.col("line")).alias("line_hash"), F.length("line").alias("chars"))
-    held = lines.groupBy("source", "text_key", "line_hash").agg(F.sum("chars").alias("chars"))
+    held = cut(lines.groupBy("source", "text_key", "line_hash").agg(F.sum("chars").alias("chars")))
     counted = held.groupBy("source", "line_hash").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= RECURS)
     again = cut(held.join(counted, ["source", "line_hash"]))
     sizes = docs.select("source", "text_key", F.length("text").alias("size")).distinct()
