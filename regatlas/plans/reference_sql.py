@@ -185,9 +185,9 @@ dense AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY
 FUSION = f"""
 {DOCS},
 numbered AS (SELECT item_id AS qid, query, row_number() OVER (ORDER BY item_id) - 1 AS i FROM (SELECT DISTINCT item_id, query FROM eval_items)),
-asked AS (SELECT qid, query, embedding AS vector FROM numbered JOIN embeddings ON vec_id = i * 50),
+asked AS (SELECT qid, query, embedding AS vector FROM numbered LEFT JOIN embeddings ON vec_id = i * 50),
 {BM25},
-{dense("asked", "doc_id")},
+{dense("(SELECT * FROM asked WHERE vector IS NOT NULL)", "doc_id")},
 met AS (SELECT coalesce(d.qid, l.qid) AS qid, coalesce(d.doc_id, l.doc_id) AS doc_id, d.rank AS dr, l.rank AS lr, d.score AS ds, l.score AS ls FROM dense d FULL JOIN lexical l ON d.qid = l.qid AND d.doc_id = l.doc_id),
 rrf AS (SELECT *, coalesce(1 / (60.0::DOUBLE + dr), 0) + coalesce(1 / (60.0::DOUBLE + lr), 0) AS base, least(dr, lr) AS best FROM met)"""
 
@@ -220,7 +220,17 @@ cmp AS (
   FROM ka FULL JOIN kb ON ka.name = kb.name
 )"""
 
+def _field(x: str) -> str:
+    return f"replace({squeeze(f"replace(lower(coalesce({x}, '')), '_', ' ')")}, ' ', '_')"
+
+
+_RELATIVE = ordered(
+    "CASE WHEN dt IS NULL OR lt IS NULL THEN base ELSE CASE WHEN dt > 0 THEN 0.5 * coalesce(ds / dt, 0) ELSE 0 END + 0.5 * coalesce(ls / lt, 0) END",
+    "(SELECT * FROM tops WHERE dt IS NULL OR lt IS NULL OR dt > 0 OR lr IS NOT NULL)",
+)
 _TITLE = "coalesce(s.title, '')"
+_REGISTER_TEXT = """array_to_string(list_filter(list_concat([coalesce(register_name, ''), coalesce(address, ''), coalesce(description, '')],
+  list_transform(coalesce(bit_fields, []), lambda f: array_to_string(list_filter([f.bit_range, f.name, f.access, f.reset_value, f.description], lambda x: coalesce(x, '') <> ''), ' '))), lambda x: x <> ''), '. ')"""
 SQL = {
     "clean_text": f"WITH {BLOCKS} SELECT block_id, {denoised('c')} AS clean FROM (SELECT block_id, {cleaned('text')} AS c FROM blocks WHERE type = 'text')",
     "stem_dictionary": f"SELECT w AS word, {stem('w')} AS stem FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM documents)",
@@ -264,10 +274,25 @@ SELECT doc_file, pos, t AS type, CASE WHEN t IN ('text', 'header', 'footer', 'eq
   CASE WHEN t = 'image' THEN coalesce(array_to_string(image_caption, ' '), '') END AS image_caption, CASE WHEN t = 'image' THEN coalesce(img_path, '') END AS img_path
 FROM x WHERE t IN ('header', 'footer', 'image') OR (t = 'table' AND coalesce(table_body, '') <> '') OR (t IN ('text', 'equation', 'code') AND regexp_matches(coalesce(body, ''), '[^{SPACE[1:]}'))""",
     "split_long": f"WITH RECURSIVE {DOCS}, src AS (SELECT doc_id, {chunk_clean('text')} AS body FROM docs), {split_cte('src', 'doc_id', 'body')} SELECT doc_id, piece_no::INT AS piece_no, piece FROM pieces",
-    "breadcrumb_chunks": f"""WITH RECURSIVE src AS (SELECT row_number() OVER (ORDER BY section_row, text) AS uid, section_row, section_id, module, {chunk_clean('title')} AS title, {chunk_clean('text')} AS body FROM kb_sections),
-long AS (SELECT * FROM src WHERE length(body) >= 40), {split_cte('long', 'uid', 'body')}
-SELECT row_number() OVER (ORDER BY section_row, piece_no) - 1 AS chunk_idx, section_id, section_row AS ord, piece_no::INT AS piece, module || CASE WHEN title <> '' THEN ' › ' || title ELSE '' END AS breadcrumb,
-  module || CASE WHEN title <> '' THEN ' › ' || title ELSE '' END || ' › ' || piece AS embed_text FROM pieces JOIN src USING (uid)""",
+    "breadcrumb_chunks": f"""WITH RECURSIVE {ROLES}, {SECS}, {TABS}, {BODY}, {UNITS},
+vals AS (SELECT block_id, string_agg(array_to_string(list_filter([{', '.join(at('cells', f'c_{k}') for k in ('value', 'mnemonic', 'description'))}], lambda x: x <> ''), ' '), '. ' ORDER BY row_no) AS v FROM body
+  WHERE class = 'enum' AND ({at('cells', 'c_value')} <> '' OR {at('cells', 'c_mnemonic')} <> '') GROUP BY block_id),
+enums AS (SELECT t.*, CASE WHEN regexp_matches(coalesce(t.register_anchor, ''), '(_E|_S)$') THEN t.register_anchor WHEN {_TITLE} <> '' THEN s.title ELSE coalesce(t.register_anchor, '') END AS name, v FROM tabs t {_TITLED} LEFT JOIN vals USING (block_id) WHERE t.class = 'enum'),
+grids AS (SELECT block_id, string_agg(array_to_string(cells, ' | '), chr(10) ORDER BY row_no) AS grid FROM rws GROUP BY block_id),
+codes AS (SELECT doc_file, pos, module, coalesce(section_id, '') AS section_id, coalesce(nullif(array_to_string(list_transform(code_caption, lambda c: {cleaned('c')}), ' '), ''), sub_type, '') AS title, {cleaned("coalesce(nullif(code_body, ''), text)")} AS text FROM noted WHERE type = 'code'),
+src AS (
+  SELECT 1 AS k, 'section' AS kind, section_row AS ord, section_id, module, title, text FROM kb_sections
+  UNION ALL SELECT 2, 'algorithm', row_number() OVER (ORDER BY doc_file, pos) - 1, section_id, module, title, text FROM codes WHERE text <> ''
+  UNION ALL SELECT 3, 'register', record_id, section_id, module, register_name, {_REGISTER_TEXT} FROM (SELECT DISTINCT ON (record_id) * FROM knowledge WHERE collection = 'registers')
+  UNION ALL SELECT 4, 'enum', row_number() OVER (ORDER BY doc_file, pos) - 1, coalesce(section_id, ''), module, name, name || CASE WHEN name <> '' AND coalesce(v, '') <> '' THEN '. ' ELSE '' END || coalesce(v, '') FROM enums
+  UNION ALL SELECT 5, 'table', row_number() OVER (ORDER BY t.doc_file, t.pos) - 1, coalesce(t.section_id, ''), t.module, {_TITLE}, grid FROM tabs t {_TITLED} JOIN grids USING (block_id) WHERE t.class = 'other'
+  UNION ALL SELECT 6, 'markdown', row_number() OVER (ORDER BY u.doc_id, u.unit) - 1, '', docs.module, heading, body FROM units u JOIN docs USING (doc_id) WHERE {squeeze('lower(heading)')} = '' OR NOT EXISTS (
+    SELECT 1 FROM kb_sections k WHERE k.module = docs.module AND {squeeze("lower(coalesce(k.title, ''))")} = {squeeze('lower(u.heading)')})
+),
+neat AS (SELECT row_number() OVER () AS uid, k, kind, ord, section_id, module, {chunk_clean('title')} AS title, {chunk_clean('text')} AS body FROM src),
+long AS (SELECT * FROM neat WHERE length(body) >= 40), {split_cte('long', 'uid', 'body')},
+crumbs AS (SELECT *, array_to_string(list_filter([module, title], lambda x: x <> ''), ' › ') AS breadcrumb FROM long)
+SELECT row_number() OVER (ORDER BY k, ord, piece_no) - 1 AS chunk_idx, kind, section_id, ord, piece_no::INT AS piece, breadcrumb, CASE WHEN breadcrumb <> '' THEN breadcrumb || ' › ' ELSE '' END || piece AS embed_text FROM pieces JOIN crumbs USING (uid)""",
     "markdown_units": f"WITH {UNITS} SELECT * FROM units",
     "uncovered_units": f"""WITH {UNITS} SELECT doc_id, unit, heading FROM units u JOIN docs USING (doc_id) WHERE {squeeze('lower(heading)')} = '' OR NOT EXISTS (
   SELECT 1 FROM kb_sections k WHERE k.module = docs.module AND {squeeze("lower(coalesce(k.title, ''))")} = {squeeze('lower(u.heading)')})""",
@@ -278,7 +303,7 @@ SELECT term, count(DISTINCT doc_id) AS df, round(ln(1 + (any_value(n) - count(DI
     "rrf_fusion": f"WITH {FUSION} {ordered('base', 'rrf')}",
     "rrf_bonus": f"WITH {FUSION} {ordered('base + CASE WHEN best = 1 THEN 0.05 WHEN best <= 3 THEN 0.02 ELSE 0 END', 'rrf')}",
     "relative_fusion": f"""WITH {FUSION}, tops AS (SELECT *, max(ds) OVER (PARTITION BY qid) AS dt, max(ls) OVER (PARTITION BY qid) AS lt FROM rrf)
-{ordered('CASE WHEN dt IS NULL OR lt IS NULL THEN base ELSE CASE WHEN dt > 0 THEN 0.5 * coalesce(ds / dt, 0) ELSE 0 END + 0.5 * coalesce(ls / lt, 0) END', '(SELECT * FROM tops WHERE dt IS NULL OR lt IS NULL OR dt > 0 OR lr IS NOT NULL)')}""",
+{_RELATIVE}""",
     "hybrid_module_filter": f"""WITH {FUSION}, fused AS ({ordered('base', 'rrf')})
 SELECT qid, doc_id, rank, place FROM (SELECT qid, doc_id, rank, row_number() OVER (PARTITION BY qid ORDER BY rank) AS place FROM fused JOIN docs USING (doc_id) WHERE contains(lower(source), 'north')) WHERE place <= 5""",
     "register_search": f"""WITH {found('')} SELECT query, record_id, place, n_found, md5(coalesce(text, '')) AS section_md5
@@ -312,6 +337,27 @@ SELECT *, round(coalesce(shared::DOUBLE / nullif(shared + only_a + only_b, 0), 1
     "question_errors": """SELECT item_id, unnest(list_filter([CASE WHEN item_id IS NULL THEN 'no id' END, CASE WHEN trim(coalesce(query, '')) = '' THEN 'no query' END, CASE WHEN trim(coalesce(source, '')) = '' THEN 'no source' END,
   CASE WHEN NOT coalesce(type IN ('register', 'figure', 'prose'), false) THEN 'unknown type' END, CASE WHEN type IN ('register', 'figure') AND trim(coalesce(keyword, '')) = '' THEN 'no keyword' END,
   CASE WHEN type IN ('register', 'figure', 'prose') AND trim(coalesce(CASE type WHEN 'register' THEN expected.register_name WHEN 'figure' THEN expected.caption_contains ELSE expected.section_contains END, '')) = '' THEN 'nothing expected' END], lambda x: x IS NOT NULL)) AS error FROM eval_items""",
-    "hit_at_k": f"""WITH {DOCS}, {ASKED}, {BM25}, firsts AS (SELECT l.qid, min(rank) AS first FROM lexical l JOIN docs USING (doc_id) JOIN eval_items e ON e.item_id = l.qid WHERE contains(lower(docs.text), lower(coalesce(e.keyword, ''))) GROUP BY l.qid)
-SELECT type, count(*) AS n, count(*) FILTER (WHERE first <= 1) AS hit1, count(*) FILTER (WHERE first <= 5) AS hit5 FROM eval_items e LEFT JOIN firsts ON firsts.qid = e.item_id GROUP BY type""",
+    "hit_at_k": f"""WITH {FUSION}, {REGS},
+words AS (SELECT DISTINCT ON (item_id) item_id AS qid, lower(trim(coalesce(keyword, query))) AS needle, lower(trim(coalesce(module, ''))) AS want, type, expected FROM eval_items),
+reg_hits AS (SELECT qid, expected, register_name, bit_fields, row_number() OVER (PARTITION BY qid ORDER BY record_id) AS rank
+  FROM words JOIN (SELECT *, {_HAY} AS hay FROM regs) r ON contains(hay, needle) AND contains(lower(coalesce(r.module, '')), want) WHERE type = 'register' AND needle <> ''),
+fig_hits AS (SELECT qid, expected, caption, row_number() OVER (PARTITION BY qid ORDER BY record_id) AS rank
+  FROM words JOIN (SELECT DISTINCT ON (record_id) * FROM knowledge WHERE collection = 'figures') f ON contains(lower(concat_ws(' ', f.name, f.caption, f.description)), needle) AND contains(lower(coalesce(f.module, '')), want) WHERE type = 'figure' AND needle <> ''),
+tops AS (SELECT *, max(ds) OVER (PARTITION BY qid) AS dt, max(ls) OVER (PARTITION BY qid) AS lt FROM rrf),
+only_lexical AS (SELECT qid, doc_id, NULL AS dr, rank AS lr, 1 / (60.0::DOUBLE + rank) AS base FROM lexical),
+lists AS (
+  SELECT 'bm25' AS config, * FROM ({ordered('base', 'only_lexical')}) UNION ALL SELECT 'hybrid_rrf', * FROM ({ordered('base', 'rrf')})
+  UNION ALL SELECT 'hybrid_rrf_bonus', * FROM ({ordered('base + CASE WHEN best = 1 THEN 0.05 WHEN best <= 3 THEN 0.02 ELSE 0 END', 'rrf')}) UNION ALL SELECT 'hybrid_relative', * FROM ({_RELATIVE})
+),
+doc_hits AS (SELECT config, l.qid, w.expected, d.text, row_number() OVER (PARTITION BY config, l.qid ORDER BY l.rank) AS place FROM lists l JOIN words w USING (qid) JOIN docs d USING (doc_id) WHERE w.type = 'prose' AND contains(lower(d.module), w.want)),
+near AS (
+  SELECT 'search_registers' AS config, qid, rank FROM reg_hits WHERE rank <= 50 AND (trim(coalesce(expected.register_name, '')) <> '' OR trim(coalesce(expected.bit_field, '')) <> '')
+    AND (trim(coalesce(expected.register_name, '')) = '' OR contains(lower(coalesce(register_name, '')), lower(expected.register_name)))
+    AND (trim(coalesce(expected.bit_field, '')) = '' OR len(list_filter(coalesce(bit_fields, []), lambda f: contains({_field('f.name')}, {_field('expected.bit_field')}))) > 0)
+  UNION ALL SELECT 'search_concepts', qid, rank FROM fig_hits WHERE trim(coalesce(expected.caption_contains, '')) <> '' AND contains(lower(coalesce(caption, '')), lower(expected.caption_contains))
+  UNION ALL SELECT config, qid, place FROM doc_hits WHERE place <= 10 AND trim(coalesce(expected.section_contains, '')) <> '' AND contains(lower(text), lower(expected.section_contains))
+),
+firsts AS (SELECT config, qid, min(rank) AS first FROM near GROUP BY ALL),
+configs(config, kind) AS (VALUES ('search_registers', 'register'), ('search_concepts', 'figure'), ('bm25', 'prose'), ('hybrid_rrf', 'prose'), ('hybrid_rrf_bonus', 'prose'), ('hybrid_relative', 'prose'))
+SELECT c.config, w.type, count(*) AS n, count(*) FILTER (WHERE first <= 1) AS hit1, count(*) FILTER (WHERE first <= 5) AS hit5 FROM configs c JOIN words w ON w.type = c.kind LEFT JOIN firsts f ON f.config = c.config AND f.qid = w.qid GROUP BY ALL""",
 }
