@@ -38,7 +38,7 @@ def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 continue
             words = [w for w in _WORD.findall(text) if _LATIN.search(w)]
             plain.extend(words)
-            plain.append("".join(ch for ch in text if ch in ZERO_WIDTH or ch in HARD_SPACES or ch in FULL_WIDTH or ch == " "))
+            plain.append("".join(ch for ch in text if ch in ZERO_WIDTH or ch in HARD_SPACES or ch in FULL_WIDTH or ch == " " or "\u0300" <= ch <= "\u036f"))
             found.update(_MARK.findall(text))
         whole = "\n".join(plain)
         for s in strings:
@@ -53,7 +53,7 @@ def alike(s: str) -> str | None:
     if len(s) == 1:
         if s in FULL_WIDTH or s in LETTERS or s in LIGATURES:
             return FULL_WIDTH.get(s) or LETTERS.get(s) or LIGATURES[s]
-        return "" if s in ZERO_WIDTH else " " if s in HARD_SPACES else None
+        return "" if s in ZERO_WIDTH or "\u0300" <= s <= "\u036f" else " " if s in HARD_SPACES else None
     if _MARK.fullmatch(s):
         base = LETTERS.get(s[0], FULL_WIDTH.get(s[0], s[0]))
         whole = unicodedata.normalize("NFC", base + s[1])
@@ -76,7 +76,7 @@ def lookalike_classes(texts: DataFrame) -> dict[str, str]:
     to the driver. Classes are the connected components of "looks like" under union-find, so Ａ, А and Α meet through
     A; the most frequent member in words with Latin letters represents its class, by code point where counts tie; to each
     count FAMILY_SHARE of its family's (usual, full-width, other script) is added, so a rare letter follows the others. The
-    class of zero-width characters is represented by the empty string.
+    class of zero-width characters, and of accents that no letter before them takes up, is represented by the empty string.
     """
     counted = texts.mapInArrow(_count_strings, "s string, n long").groupBy("s").agg(F.sum("n").alias("n"))
     count = {r.s: r.n for r in counted.collect()}
@@ -154,10 +154,7 @@ def rewriter(rewrite: dict[str, str]):  # noqa: ANN201
         return "".join(out)
 
     def whole(text: str) -> str:
-        for _ in range(8):
-            new = once(text)
-            if new == text:
-                break
+        while (new := once(text)) != text:  # every change leaves fewer variants, or a shorter text
             text = new
         return text
 

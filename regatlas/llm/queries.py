@@ -87,6 +87,14 @@ often AS (
   WHERE regexp_matches(norm, '\p{L}') GROUP BY source, norm HAVING count(DISTINCT doc_file) >= greatest(3, any_value(n) * 0.1)
 )"""
 
+_LEAKS = r"""
+items AS (SELECT row_number() OVER () AS ik, item_id, ws FROM (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM eval_items) WHERE len(ws) >= 6),
+runs AS (SELECT ik, i AS place, array_to_string(ws[i:i + 5], ' ') AS run FROM items, range(1, len(ws) - 4) r(i)),
+docs AS (SELECT row_number() OVER () AS dk, doc_id, ws FROM (SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents) WHERE len(ws) >= 6),
+held AS (SELECT DISTINCT dk, doc_id, array_to_string(ws[i:i + 5], ' ') AS run FROM docs, range(1, len(ws) - 4) r(i)),
+cover AS (SELECT ik, dk, doc_id, count(DISTINCT place + o) AS covered FROM runs JOIN held USING (run), range(0, 6) w(o) GROUP BY ALL),
+leaks AS (SELECT item_id, doc_id, max(covered / len(ws)) AS share FROM cover JOIN items USING (ik) WHERE covered >= len(ws) * 0.5 GROUP BY ALL)"""
+
 _LOOK = "".join(LETTERS)
 _ALWAYS = rf"[\x{{FF10}}-\x{{FF19}}\x{{FF21}}-\x{{FF3A}}\x{{FF41}}-\x{{FF5A}}\x{{FF3F}}\x{{0300}}-\x{{036F}}\x{{FB00}}-\x{{FB06}}{ZERO_WIDTH}{HARD_SPACES}]"
 _MIXED = rf"[A-Za-z\x{{00C0}}-\x{{00D6}}\x{{00D8}}-\x{{00F6}}\x{{00F8}}-\x{{024F}}][\p{{L}}\p{{N}}_]*[{_LOOK}]|[{_LOOK}][\p{{L}}\p{{N}}_]*[A-Za-z\x{{00C0}}-\x{{00D6}}\x{{00D8}}-\x{{00F6}}\x{{00F8}}-\x{{024F}}]"
@@ -96,6 +104,8 @@ SQL = {
   SELECT 'acme_content_list' AS src, block_id AS row_key, text FROM acme_content_list UNION ALL SELECT 'knowledge', record_id, register_name FROM knowledge
 ) WHERE regexp_matches(text, '{_ALWAYS}|{_MIXED}')""",
     "p5_found": f"WITH {_LINES} SELECT DISTINCT block_id, line_no::INT AS line_no FROM lines JOIN often USING (source, norm)",
+    "p7_found": f"WITH {_LEAKS} SELECT item_id, doc_id FROM leaks",
+    "p7_report": f"WITH {_LEAKS} SELECT item_id, count(DISTINCT doc_id) AS n_documents, max(share) AS most FROM leaks GROUP BY item_id",
     "p6_faults": """SELECT budget_id, texts, 0 AS overfull, 0 AS cut_needlessly, 0 AS repeated FROM pack_budgets,
   (SELECT count(*) AS texts FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text <> ''))""",
     "p5_lines": f"WITH {_LINES} SELECT source, norm, n_documents FROM often",

@@ -33,3 +33,9 @@ def test_empty_and_long(spark):
     assert lk.rewriter({})("x") == "x"
     whole = lk.rewriter({"Ｘ": "X", "​": ""})
     assert whole("Ｘ​" * 50_000) == "X" * 50_000
+
+
+def test_accents_without_a_letter_of_their_own(spark):
+    rows = [(1, "x\u0302 axis"), (2, "5\u0304 and \u0301"), (3, "за\u0301мок"), (4, "cafe\u0301"), (5, "naïve café"), (6, "plain")]
+    got = {r.row_key: r.canonical for r in lk.canonical_texts({"s": spark.createDataFrame(rows, "row_key long, text string")}).collect()}
+    assert got == {1: "x axis", 2: "5 and ", 3: "замок", 4: "café", 5: "naïve café", 6: "plain"}
