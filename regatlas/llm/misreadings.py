@@ -158,56 +158,71 @@ def query_keys(token: str) -> set[str]:
     return keys
 
 
-def _keyed(words: DataFrame, of: str) -> DataFrame:
-    """``(key, asks, word, n)``: each row of ``words(word, n)`` under all its keys."""
-    keys_of, asks = (query_keys, True) if of == "query" else (vocabulary_keys, False)
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row ``(word, n, known, asks)`` under all its keys: as a word of the vocabulary if ``known``, as a token if it ``asks``."""
+    for batch in batches:
+        rows = []
+        for word, n, known, asks in zip(*(batch.column(c).to_pylist() for c in ("word", "n", "known", "asks"))):
+            rows += [(k, False, word, n) for k in vocabulary_keys(word)] if known else []
+            rows += [(k, True, word, n) for k in query_keys(word)] if asks else []
+        cols = list(zip(*rows)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.string(), pa.int64()))], ["key", "asks", "word", "n"])
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(k, asks, w, n) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for k in keys_of(w)]
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.bool_(), pa.string(), pa.int64()))], ["key", "asks", "word", "n"])
 
-    return words.select("word", "n").mapInArrow(spread, "key string, asks boolean, word string, n long")
+def any_candidate(word: str, n: int, candidate: str, candidate_n: int) -> int | None:
+    return 0
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, vocabulary before tokens: a trie per key, met by the automaton of each of its tokens."""
-    key, trie = None, None
-    machines: dict[str, Levenshtein] = {}
-    for batch in batches:
-        out = []
-        for k, asks, word, n in zip(*(batch.column(c).to_pylist() for c in ("key", "asks", "word", "n"))):
-            if k != key:
-                key, trie = k, None
-            if not asks:
-                trie = trie or Trie()
-                trie.add(word, n)
-            elif trie:
-                if word not in machines:
-                    if len(machines) >= 4096:
-                        machines.clear()
-                    machines[word] = Levenshtein(word, distance_allowed(len(word)))
-                out += [(word, n, v, m, d) for v, m, d in trie.near(machines[word]) if d]
-        cols = list(zip(*set(out))) if out else [[], [], [], [], []]
-        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["word", "n", "candidate", "candidate_n", "distance"])
-
-
-def candidates(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``(word, n, candidate, candidate_n, distance)``: every word of ``vocabulary(word, n)`` other than the token itself within
-    distance_allowed of each of ``tokens(word, n)``.
-
-    Both sides are shuffled by the segments that they share, so no task holds more of the vocabulary than the words of one
-    segment, and the tokens of a segment pass by it one at a time.
-    """
-    rows = _keyed(vocabulary, "vocabulary").unionByName(_keyed(tokens, "query"))
-    rows = rows.repartition(parallelism(tokens.sparkSession), "key").sortWithinPartitions("key", "asks")
-    return rows.mapInArrow(_search, "word string, n long, candidate string, candidate_n long, distance int").distinct()
+def misread_cost(word: str, n: int, candidate: str, candidate_n: int) -> int | None:
+    """At what cost ``word`` is a misreading of ``candidate``; None where it is none, by shape or by the ratio of their counts."""
+    most = max((c for c in RATIO if candidate_n >= RATIO[c] * n), default=0)
+    return shape_cost(candidate, word, min(most, cost_allowed(len(word)))) if most and may_be_misread(word) else None
 
 
-def is_vocabulary(word: str) -> bool:
-    return word.isalpha()
+def _searcher(judge):  # noqa: ANN001, ANN202
+    """Rows sorted by key, vocabulary before tokens: a trie per key, met by the automaton of each of its tokens."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, trie = None, None
+        machines: dict[str, Levenshtein] = {}
+        judged: dict[tuple[str, str], int | None] = {}
+        for batch in batches:
+            out = set()
+            for k, asks, word, n in zip(*(batch.column(c).to_pylist() for c in ("key", "asks", "word", "n"))):
+                if k != key:
+                    key, trie = k, None
+                if not asks:
+                    trie = trie or Trie()
+                    trie.add(word, n)
+                elif trie:
+                    if word not in machines:
+                        if len(machines) >= 4096:
+                            machines.clear()
+                        machines[word] = Levenshtein(word, distance_allowed(len(word)))
+                    for v, m, d in trie.near(machines[word]):
+                        if d and (word, v) not in judged:
+                            if len(judged) >= 500_000:
+                                judged.clear()
+                            judged[word, v] = judge(word, n, v, m)
+                        if d and (cost := judged[word, v]) is not None:
+                            out.add((word, v, d, cost, m))
+            cols = list(zip(*out)) or [[]] * 5
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["word", "candidate", "distance", "cost", "candidate_n"])
+
+    return search
+
+
+def candidates(words: DataFrame, judge=any_candidate) -> DataFrame:  # noqa: ANN001
+    """``(word, candidate, distance, cost, candidate_n)``: every ``known`` word of ``words(word, n, known, asks)``, other than the
+    token itself, within distance_allowed of each one that ``asks``, and to which ``judge`` gives a cost.
+
+    Rows are shuffled by the segments that tokens and words share, so no task holds more of the vocabulary than the words of
+    one segment, and the tokens of a segment pass by it one at a time.
+    """
+    rows = words.select("word", "n", "known", "asks").mapInArrow(_spread, "key string, asks boolean, word string, n long")
+    rows = rows.repartition(parallelism(words.sparkSession), "key").sortWithinPartitions("key", "asks")
+    return rows.mapInArrow(_searcher(judge), "word string, candidate string, distance int, cost int, candidate_n long").distinct()
 
 
 def may_be_misread(word: str) -> bool:
@@ -227,22 +242,9 @@ def misread_words(counts: DataFrame, extra: DataFrame) -> DataFrame:
     top = counts.agg(F.max("n")).first()[0] or 0
     least = min(RATIO.values())
     letters = F.col("word").rlike(r"^\p{L}+$")
-    vocabulary = counts.where(letters & (F.col("n") >= least))
-    some_letters = F.col("word").rlike(r"\p{L}[^\p{L}]*\p{L}") & ~F.col("word").rlike(r"^0[xX][0-9A-Fa-f]+$")
-    tokens = judged.where(some_letters & (F.col("n") * least <= top))
-
-    def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for w, n, v, m in zip(*(batch.column(c).to_pylist() for c in ("word", "n", "candidate", "candidate_n"))):
-                most = max((c for c in RATIO if m >= RATIO[c] * n), default=0)
-                if may_be_misread(w) and (cost := shape_cost(v, w, min(most, cost_allowed(len(w))))) is not None and cost > 0:
-                    rows.append((w, v, cost, m))
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["word", "candidate", "cost", "candidate_n"])
-
-    found = cut(candidates(tokens, vocabulary).where(F.col("candidate_n") >= F.col("n") * least).mapInArrow(accept, "word string, candidate string, cost int, candidate_n long"))
+    two_letters = F.col("word").rlike(r"\p{L}[^\p{L}]*\p{L}") & ~F.col("word").rlike(r"^0[xX][0-9A-Fa-f]+$")
+    words = judged.select("word", "n", (letters & (F.col("n") >= least)).alias("known"), (two_letters & (F.col("n") * least <= top)).alias("asks")).where("known OR asks")
+    found = cut(candidates(words, misread_cost).select("word", "candidate", "cost", "candidate_n"))
     wrong = found.select(F.col("word").alias("candidate")).distinct()
     return found.join(wrong, "candidate", "left_anti").unionByName(
         # a misreading all of whose candidates are misreadings stays one

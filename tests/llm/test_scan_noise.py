@@ -30,8 +30,8 @@ def test_candidates_are_complete(spark):
     some = lambda n: sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 11))) for _ in range(n)})
     words = [*some(150), "register", "controller", "interrupt", "address"]
     tokens = [*some(80), "regixter", "regster", "regisster", "cnntroller", "contrnller", "intenupt", "äöü"]
-    frame = lambda xs: spark.createDataFrame([(x, 1) for x in xs], "word string, n long")
-    got = {(r.word, r.candidate): r.distance for r in mr.candidates(frame(tokens), frame(words)).collect()}
+    rows = [(x, 1, x in words, x in tokens) for x in {*words, *tokens}]
+    got = {(r.word, r.candidate): r.distance for r in mr.candidates(spark.createDataFrame(rows, "word string, n long, known boolean, asks boolean")).collect()}
     want = {(t, w): d for t in tokens for w in words if 0 < (d := distance(t, w)) <= mr.distance_allowed(len(t))}
     assert got == want
 
