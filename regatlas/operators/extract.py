@@ -59,14 +59,19 @@ def annotate(blocks: DataFrame, profile: Profile = Profile()) -> DataFrame:
     return filled.withColumnRenamed("last_section", "section_id").withColumnRenamed("last_anchor", "register_anchor")
 
 
-def sections(noted: DataFrame) -> DataFrame:
-    """Title, level and page of a section's first heading and its body texts in order."""
+def headings(noted: DataFrame) -> DataFrame:
+    """Module, title, level and page of each section's first heading."""
     heads = noted.where("role = 'heading'").groupBy("doc_file", F.col("section").alias("section_id")).agg(
         F.min_by(F.struct("module", F.col("clean").alias("title"), F.col("text_level").alias("level"), F.col("page_idx").alias("page")), "pos").alias("head"), F.min("pos").alias("ord")
     )
+    return heads.select("doc_file", "ord", "section_id", "head.*")
+
+
+def sections(noted: DataFrame) -> DataFrame:
+    """Headings and their sections' body texts in order."""
     body = noted.where("role = 'body' AND section_id IS NOT NULL").groupBy("doc_file", "section_id").agg(F.array_sort(F.collect_list(F.struct("pos", "clean"))).alias("parts"))
     text = F.coalesce(F.array_join(F.transform("parts", lambda p: p["clean"]), " "), F.lit(""))
-    return heads.join(body, ["doc_file", "section_id"], "left").select("doc_file", "ord", "section_id", "head.*", text.alias("text"))
+    return headings(noted).join(body, ["doc_file", "section_id"], "left").select("doc_file", "ord", "section_id", "module", "title", "level", "page", text.alias("text"))
 
 
 def table_blocks(noted: DataFrame, profile: Profile = Profile()) -> DataFrame:
@@ -149,13 +154,20 @@ COLLECTIONS = ("sections", "registers", "enums", "tables", "formulas", "algorith
 def build_kb(blocks: DataFrame, profile: Profile = Profile(), wanted: tuple[str, ...] = COLLECTIONS) -> dict[str, DataFrame]:
     """The ``wanted`` knowledge tables of the documents in ``blocks``.
 
-    Annotated blocks and parsed tables are written to the shared folder once, as each feeds several collections; the
-    collections themselves are lazy.
+    Annotated blocks and parsed tables are written to the shared folder once, as each feeds several collections, with no
+    more rows and columns than the wanted ones need; the collections themselves are lazy.
     """
-    noted = cut(annotate(latest_blocks(blocks), profile))
-    secs = sections(noted)
-    kb = {"sections": secs, "formulas": formulas(noted), "algorithms": algorithms(noted), "figures": figures(noted, secs)}
+    noted = annotate(latest_blocks(blocks), profile)
+    columns = ["doc_file", "module", "pos", "page_idx", "type", "role", "clean", "text_level", "section", "section_id", "register_anchor", "table_body"]
+    more = {"formulas": ["text", "latex"], "algorithms": ["text", "code_body", "sub_type", "code_caption"], "figures": ["image_caption", "img_path"]}
+    columns += sorted({c for name in wanted for c in more.get(name, ())})
+    kept = ["heading"] + (["body"] if {"sections", "figures"} & set(wanted) else [])
+    others = {"formulas": ["equation"], "algorithms": ["code"], "figures": ["image", "chart"], "registers": ["table"], "enums": ["table"], "tables": ["table"]}
+    kept += sorted({t for name in wanted for t in others.get(name, ())})
+    noted = cut(noted.where(F.col("role").isin(kept)).select(*columns))
+    heads = headings(noted)
+    make = {"sections": lambda: sections(noted), "formulas": lambda: formulas(noted), "algorithms": lambda: algorithms(noted), "figures": lambda: figures(noted, sections(noted))}
     if {"registers", "enums", "tables"} & set(wanted):
         tables = cut(table_blocks(noted, profile).select("doc_file", "module", "pos", "page_idx", "section_id", "register_anchor", "rows", "header", "class"))
-        kb |= {"registers": registers(tables, secs, profile), "enums": enums(tables, secs, profile), "tables": other_tables(tables, secs)}
-    return {name: kb[name] for name in wanted}
+        make |= {"registers": lambda: registers(tables, heads, profile), "enums": lambda: enums(tables, heads, profile), "tables": lambda: other_tables(tables, heads)}
+    return {name: make[name]() for name in wanted}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..profile import Profile
+from .search import containing
 
 
 def audit_counts(blocks: DataFrame, tables: DataFrame, profile: Profile = Profile()) -> DataFrame:
@@ -21,7 +22,8 @@ def audit_counts(blocks: DataFrame, tables: DataFrame, profile: Profile = Profil
     anchors = blocks.where("type = 'text'").select("doc_file", token.alias("token")).where("token <> ''")
     found = anchors.distinct().groupBy("doc_file").agg(F.count(F.lit(1)).alias("n"))
     counted = counted.unionByName(found.select("doc_file", F.lit("anchor").alias("metric"), F.lit("distinct").alias("label"), "n"))
-    return counted.unionByName(counted.groupBy("metric", "label").agg(F.sum("n").alias("n")).withColumn("doc_file", F.lit(None).cast("string")))
+    both = counted.rollup("metric", "label", "doc_file").agg(F.sum("n").alias("n"), F.grouping_id().alias("level")).where("level < 2")
+    return both.select("doc_file", "metric", "label", "n")
 
 
 def unknown_headers(tables: DataFrame, n: int = 20) -> DataFrame:
@@ -106,3 +108,45 @@ def question_errors(questions: DataFrame) -> DataFrame:
         F.when(F.col("type").isin("register", "figure") & e("keyword"), "no keyword"), F.when(known & (F.trim(F.coalesce(want, F.lit(""))) == ""), "nothing expected"),
     )
     return questions.select("item_id", F.explode(F.filter(errors, lambda x: x.isNotNull())).alias("error"))
+
+
+def unanchored_questions(questions: DataFrame, registers: DataFrame, figures: DataFrame, sections: DataFrame) -> DataFrame:
+    """``(item_id, error)``: gold questions whose expected register, caption or section text the knowledge base doesn't hold.
+
+    Letter case aside, the expected text must stand in a register's name, a figure's caption, or a section's title or text.
+    Blank expectations are question_errors' business.
+    """
+    out = None
+    places = {
+        "register_name": ("register not in the knowledge base", registers, F.col("register_name")),
+        "caption_contains": ("caption not in the knowledge base", figures, F.col("caption")),
+        "section_contains": ("section not in the knowledge base", sections, F.concat_ws("\n", "title", "text")),
+    }
+    for member, (error, rows, hay) in places.items():
+        asked = questions.select("item_id", F.lower(F.col(f"expected.{member}")).alias("needle")).where("trim(needle) <> ''")
+        held = containing(rows.select(F.lit(0).alias("k"), hay.alias("hay")), "k", F.lower("hay"), asked, "needle").select("needle").distinct()
+        lost = asked.join(held, "needle", "left_anti").select("item_id", F.lit(error).alias("error")).distinct()
+        out = lost if out is None else out.unionByName(lost)
+    return out
+
+
+def collection_counts(left: dict[str, DataFrame], right: dict[str, DataFrame]) -> DataFrame:
+    """``(collection, n_left, n_right)`` of two knowledge bases; a collection that one side lacks counts 0 there."""
+    out = None
+    for side, kb in (("l", left), ("r", right)):
+        for name, rows in kb.items():
+            part = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("collection"), F.lit(side).alias("side"), "n")
+            out = part if out is None else out.unionByName(part)
+    of = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n"))), F.lit(0))
+    return out.groupBy("collection").agg(of("l").alias("n_left"), of("r").alias("n_right"))
+
+
+def validation_report(duplicated: DataFrame, orphaned: DataFrame, covered: DataFrame, strict: bool = False) -> DataFrame:
+    """``(level, check, n)`` of what duplicates, orphans and coverage tell: duplicates and orphans are errors, low coverage a
+    warning, or an error too if ``strict``; a check without findings has no row."""
+    low = "error" if strict else "warning"
+    return (
+        duplicated.groupBy(F.concat(F.lit("duplicate "), "kind").alias("check")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("error").alias("level"), "check", "n")
+        .unionByName(orphaned.select(F.lit("error").alias("level"), F.concat(F.lit("orphans in "), "collection").alias("check"), F.col("n_orphans").alias("n")))
+        .unionByName(covered.where("low").select(F.lit(low).alias("level"), F.concat(F.lit("low "), "metric").alias("check"), (F.col("of") - F.col("n")).alias("n")))
+    )

@@ -153,3 +153,27 @@ def reranked(hits: DataFrame, scorer: Column) -> DataFrame:
     """Hits of the pool placed anew by ``scorer``, a model's score as a column; their fusion scores stay."""
     order = W.Window.partitionBy("qid").orderBy(F.desc("model_score"), "place")
     return hits.withColumn("model_score", scorer).withColumn("place", F.row_number().over(order))
+
+
+def search_prose(
+    docs: DataFrame, key: str, text: str, queries: DataFrame, dense: DataFrame | None = None, *, module: str | None = None, fusion: str = "rrf", weight: float = 0.5, bonus: tuple[float, float] = (0.0, 0.0),
+    top_k: int = TOP, scorer: Column | None = None,
+) -> DataFrame:
+    """``(qid, key, place, fused, note)``: hybrid search of ``docs`` for ``queries(qid, query, module)``.
+
+    BM25 and the ``dense`` list (of dense_topk, or none) are fused by reciprocal ranks (``rrf``) or ``relative`` scores; of the
+    pool those stay whose column ``module`` contains the query's; ``scorer`` places them anew by a model's score. A query
+    without a dense list has its BM25 list alone, and ``note`` says so. Blank modules ask for all.
+    """
+    lexical = bm25_topk(docs, key, text, queries)
+    none = docs.sparkSession.createDataFrame([], "qid long, score double, rank int").withColumn(key, F.lit(None).cast(docs.schema[key].dataType))
+    near = none if dense is None else dense
+    fused = rrf(near, lexical, key, *bonus) if fusion == "rrf" else relative_score(near, lexical, key, weight, *bonus)
+    asked = queries.select("qid", F.lower(F.trim(F.coalesce("module", F.lit("")))).alias("_want"))
+    held = F.lower(F.coalesce(F.col(module), F.lit(""))).contains(F.col("_want")) if module else None
+    hits = pooled(fused.join(asked, "qid"), docs, key, held, top_k=POOL if scorer is not None else top_k)
+    if scorer is not None:
+        hits = reranked(hits, scorer).where(F.col("place") <= top_k)
+    told = near.select("qid").distinct().withColumn("_dense", F.lit(True))
+    note = F.when(F.col("_dense"), "hybrid").otherwise("lexical only")
+    return hits.join(told, "qid", "left").select("qid", key, "place", "fused", note.alias("note"))

@@ -183,16 +183,21 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("qid", "vec_id", "score", "rank")
 
 
+def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All questions; the i-th has the i-th vector whose id is divisible by 50, if there are so many."""
+    order = W.Window.orderBy("qid")
+    asked = _eval(spark, sf_dir).select("qid", "query", "module").distinct().withColumn("i", F.row_number().over(order) - 1)  # 300 questions at every scale
+    own = table(spark, sf_dir, "embeddings").where("vec_id % 50 = 0").select((F.col("vec_id") / 50).cast("int").alias("i"), F.col("embedding").alias("vector"))
+    return cut(asked.join(own, "i", "left").select("qid", "query", "module", "vector"))
+
+
 def _lists(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A dense and a lexical list: the i-th query vector belongs to the i-th question, a vector to the document of its number.
 
     A question without a vector has a lexical list only.
     """
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    order = W.Window.orderBy("qid")
-    asked = _eval(spark, sf_dir).select("qid", "query").distinct().withColumn("i", F.row_number().over(order) - 1)  # 300 questions at every scale
-    own = vectors.where("doc_id % 50 = 0").select((F.col("doc_id") / 50).cast("int").alias("i"), F.col("embedding").alias("vector"))
-    asked = cut(asked.join(own, "i", "left").select("qid", "query", "vector"))
+    asked = _questions(spark, sf_dir)
     docs = _documents(spark, sf_dir).dropDuplicates(["doc_id"])
     dense = rank.dense_topk(vectors, "doc_id", "embedding", asked.where("vector IS NOT NULL"))
     return cut(dense), cut(rank.bm25_topk(docs, "doc_id", "text", asked))
@@ -220,6 +225,15 @@ def hybrid_module_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("qid", "doc_id", "rank", "place")
 
 
+def search_prose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each question in its module: hybrid where it has a vector, else lexical alone."""
+    docs = _documents(spark, sf_dir).dropDuplicates(["doc_id"])
+    asked = _questions(spark, sf_dir)
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    dense = cut(rank.dense_topk(vectors, "doc_id", "embedding", asked.where("vector IS NOT NULL")))
+    return rank.search_prose(docs, "doc_id", "text", asked, dense, module="module")
+
+
 # -- look-up ---------------------------------------------------------------------------------------------------------
 
 
@@ -261,11 +275,11 @@ def concept_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = _blocks(spark, sf_dir)
-    return quality.audit_counts(blocks, extract.table_blocks(extract.annotate(blocks, WIDE), WIDE), WIDE)
+    return quality.audit_counts(blocks, extract.table_blocks(blocks.select("doc_file", "type", "table_body"), WIDE), WIDE)
 
 
 def unknown_headers_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unknown_headers(extract.table_blocks(extract.annotate(_blocks(spark, sf_dir))))
+    return quality.unknown_headers(extract.table_blocks(_blocks(spark, sf_dir).select("type", "table_body")))
 
 
 def validate_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +313,21 @@ def question_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.question_errors(table(spark, sf_dir, "eval_items"))
 
 
+def unanchored_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kb = table(spark, sf_dir, "knowledge")
+    return quality.unanchored_questions(table(spark, sf_dir, "eval_items"), kb.where("collection = 'registers'"), kb.where("collection = 'figures'"), table(spark, sf_dir, "kb_sections"))
+
+
+def collection_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kb = table(spark, sf_dir, "knowledge")
+    left = {name: kb.where(F.col("collection") == name) for name in ("registers", "enums", "figures", "formulas", "algorithms", "tables")}
+    return quality.collection_counts(left, {"registers": table(spark, sf_dir, "knowledge_alt")})
+
+
+def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.validation_report(validate_duplicates(spark, sf_dir), validate_orphans(spark, sf_dir), coverage(spark, sf_dir))
+
+
 def _relevant(need: str, hay: Column) -> Column:
     """Whether ``hay`` holds the expected text, letter case aside; a blank one is never relevant."""
     want = F.lower(F.coalesce(F.col(f"expected.{need}"), F.lit("")))
@@ -358,6 +387,6 @@ QUERIES = {
         clean_text, stem_dictionary, tokenize_terms, section_slug, module_from_path, register_tokens, register_texts, html_rows, table_classes, anchors, kb_sections_built, kb_registers_built,
         kb_enums_built, kb_tables_built, kb_figures_built, kb_formulas_built, kb_algorithms_built, event_forward_fill, adapter_blocks, split_long, breadcrumb_chunks, markdown_units, uncovered_units,
         doc_freq_idf, bm25_topk, dense_topk, rrf_fusion, rrf_bonus, relative_fusion, hybrid_module_filter, register_search, register_search_module, concept_search, audit_counts,
-        unknown_headers_top20, validate_duplicates, validate_orphans, coverage, compare_registers, compare_summary, question_errors, hit_at_k,
+        unknown_headers_top20, validate_duplicates, validate_orphans, coverage, compare_registers, compare_summary, question_errors, hit_at_k, search_prose, unanchored_questions, collection_counts, validation_report,
     )
 }

@@ -360,4 +360,18 @@ near AS (
 firsts AS (SELECT config, qid, min(rank) AS first FROM near GROUP BY ALL),
 configs(config, kind) AS (VALUES ('search_registers', 'register'), ('search_concepts', 'figure'), ('bm25', 'prose'), ('hybrid_rrf', 'prose'), ('hybrid_rrf_bonus', 'prose'), ('hybrid_relative', 'prose'))
 SELECT c.config, w.type, count(*) AS n, count(*) FILTER (WHERE first <= 1) AS hit1, count(*) FILTER (WHERE first <= 5) AS hit5 FROM configs c JOIN words w ON w.type = c.kind LEFT JOIN firsts f ON f.config = c.config AND f.qid = w.qid GROUP BY ALL""",
+    "search_prose": f"""WITH {FUSION}, fused AS ({ordered('base', 'rrf')}), asks AS (SELECT DISTINCT item_id AS qid, lower(trim(coalesce(module, ''))) AS want FROM eval_items),
+placed AS (SELECT f.qid, f.doc_id, f.fused, row_number() OVER (PARTITION BY f.qid ORDER BY f.rank) AS place FROM fused f JOIN asks USING (qid) JOIN docs USING (doc_id) WHERE contains(lower(docs.module), want))
+SELECT qid, doc_id, place, fused, CASE WHEN qid IN (SELECT qid FROM asked WHERE vector IS NOT NULL) THEN 'hybrid' ELSE 'lexical only' END AS note FROM placed WHERE place <= 5""",
+    "unanchored_questions": """SELECT DISTINCT item_id, 'register not in the knowledge base' AS error FROM eval_items e WHERE trim(coalesce(expected.register_name, '')) <> ''
+  AND NOT EXISTS (SELECT 1 FROM knowledge k WHERE collection = 'registers' AND contains(lower(k.register_name), lower(e.expected.register_name)))
+UNION ALL SELECT DISTINCT item_id, 'caption not in the knowledge base' FROM eval_items e WHERE trim(coalesce(expected.caption_contains, '')) <> ''
+  AND NOT EXISTS (SELECT 1 FROM knowledge k WHERE collection = 'figures' AND contains(lower(k.caption), lower(e.expected.caption_contains)))
+UNION ALL SELECT DISTINCT item_id, 'section not in the knowledge base' FROM eval_items e WHERE trim(coalesce(expected.section_contains, '')) <> ''
+  AND NOT EXISTS (SELECT 1 FROM kb_sections s WHERE contains(lower(concat_ws(chr(10), s.title, s.text)), lower(e.expected.section_contains)))""",
+    "collection_counts": """SELECT c.collection, (SELECT count(*) FROM knowledge k WHERE k.collection = c.collection) AS n_left, CASE WHEN c.collection = 'registers' THEN (SELECT count(*) FROM knowledge_alt) ELSE 0 END AS n_right
+FROM (VALUES ('registers'), ('enums'), ('figures'), ('formulas'), ('algorithms'), ('tables')) c(collection)""",
 }
+_VALIDATED = """SELECT 'error' AS level, 'duplicate ' || kind AS check, count(*) AS n FROM ({duplicates}) GROUP BY kind
+UNION ALL SELECT 'error', 'orphans in ' || collection, n_orphans FROM ({orphans}) UNION ALL SELECT 'warning', 'low ' || metric, of - n FROM ({coverage}) WHERE low"""
+SQL["validation_report"] = _VALIDATED.format(duplicates=SQL["validate_duplicates"], orphans=SQL["validate_orphans"], coverage=SQL["coverage"]).replace("AS check,", 'AS "check",')
