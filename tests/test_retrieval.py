@@ -86,3 +86,27 @@ def test_register_search(spark):
     got = search.search_registers(regs, secs, asked).collect()
     assert {(r.qid, r.n_found) for r in got} == {(1, 60), (2, 1)} and len(got) == 51 and {r.related_section for r in got} == {"new"}
     assert regs.select(haystack(F.col("register_name"), F.col("description"), F.col("bit_fields"))).first()[0] == "r_0 desc en turns it on"
+
+
+def test_search_prose(spark):
+    docs = spark.createDataFrame([(1, "water pump", "left"), (2, "pump and wheel and pump", "right"), (3, "wheel", "left"), (4, None, None)], "doc_id long, text string, module string")
+    asked = spark.createDataFrame([(1, "pump", None), (2, "pump", " LEFT "), (3, "wheel", "")], "qid long, query string, module string")
+    dense = spark.createDataFrame([(1, 3, 0.9, 1), (1, 1, 0.8, 2)], "qid long, doc_id long, score double, rank int")
+    got = rank.search_prose(docs, "doc_id", "text", asked, dense, module="module").collect()
+    assert sorted((r.qid, r.place, r.doc_id, r.note) for r in got) == [
+        (1, 1, 1, "hybrid"), (1, 2, 3, "hybrid"), (1, 3, 2, "hybrid"), (2, 1, 1, "lexical only"), (3, 1, 3, "lexical only"), (3, 2, 2, "lexical only"),
+    ]
+    alone = rank.search_prose(docs, "doc_id", "text", asked, None, module="module", fusion="relative", top_k=1, scorer=F.col("doc_id").cast("double")).collect()
+    assert sorted((r.qid, r.doc_id, r.note) for r in alone) == [(1, 2, "lexical only"), (2, 1, "lexical only"), (3, 3, "lexical only")]
+    assert rank.search_prose(docs.where("false"), "doc_id", "text", asked).isEmpty()
+
+
+def test_query_blocks_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(rank, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(search, "NEEDLE_BLOCK", 2)
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "k long, v array<float>")
+    got = rank.dense_topk(vectors, "k", "v", spark.createDataFrame([(i, [1.0, float(i)]) for i in range(10)], "qid long, vector array<float>"), n=2).collect()
+    assert sorted((r.qid, r.rank, r.k) for r in got) == [(q, r, 20 - r) for q in range(10) for r in (1, 2)]
+    hays = spark.createDataFrame([(i, f"n{i} n{i + 1}") for i in range(9)], "k long, h string")
+    met = search.containing(hays, "k", F.col("h"), spark.createDataFrame([(f"n{i}",) for i in range(10)], "w string"), "w").collect()
+    assert sorted(tuple(r) for r in met) == sorted((i, f"n{j}") for i in range(9) for j in (i, i + 1))
