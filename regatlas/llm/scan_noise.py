@@ -228,8 +228,14 @@ def _roman(text: Column) -> Column:
     )
 
 
+def _page_shape() -> str:
+    """Pattern of a line that gives only a number: 1 what names it a page, 2 the number, 3 the number of pages, 4 the same as 1."""
+    words = "|".join([rf"(?:{'|'.join(PAGE_WORDS)})\.?", rf"(?:{'|'.join(PAGE_LETTERS)})\."])
+    return rf"(?i)^[\W_]*(?:({words})\s*)?(\d{{1,9}}|{_ROMAN})\s*(?:(?:{'|'.join(PAGE_TOTALS)})\s*(\d{{1,9}}|{_ROMAN}))?\s*(页?)[\W_]*$"
+
+
 def page_numbers(lines: DataFrame, marks: DataFrame, pages: DataFrame) -> DataFrame:
-    """``(block_id, doc_file, line_no)`` of the ``lines`` that give only the number of their page.
+    """``(block_id, doc_file, line_no)`` of the ``lines``, of the shape of one, that give only the number of their page.
 
     A line that names itself a page (PAGE_WORDS) is one. Another is one when printed number and ``page_idx`` stand apart as
     they do throughout its document: by the offset that most pages' headers and footers (``marks``) and lines of numbers agree
@@ -237,12 +243,10 @@ def page_numbers(lines: DataFrame, marks: DataFrame, pages: DataFrame) -> DataFr
     OFFSET_SHARE of the other documents have.
     Roman numerals need a dress or a second page with the same offset. A null ``page_idx`` takes any page of the document.
     """
-    words = "|".join([rf"(?:{'|'.join(PAGE_WORDS)})\.?", rf"(?:{'|'.join(PAGE_LETTERS)})\."])
-    totals = "|".join(PAGE_TOTALS)
-    shape = rf"(?i)^[\W_]*(?:({words})\s*)?(\d{{1,9}}|{_ROMAN})\s*(?:(?:{totals})\s*(\d{{1,9}}|{_ROMAN}))?\s*(页?)[\W_]*$"
+    shape = _page_shape()
     part = lambda i: F.regexp_extract("line", shape, i)
     number = lambda c: F.when(c.rlike(r"^\d+$"), c.cast("long")).when(c != "", _roman(c).cast("long"))
-    found = lines.where(F.col("line").rlike(shape)).select(
+    found = lines.select(
         "block_id", "doc_file", "page_idx", "line_no", "range_end", number(part(2)).alias("n"), number(part(3)).alias("of"), (~part(2).rlike(r"^\d")).alias("roman"),
         ((part(1) != "") | (part(4) != "")).alias("named"), (~F.col("line").rlike(r"^\s*\w+\s*$")).alias("dressed"),
     ).where("n > 0 AND (of IS NULL OR n <= of)").where("NOT (roman AND named AND NOT dressed)")
@@ -272,15 +276,20 @@ def furniture_lines(blocks: DataFrame) -> DataFrame:
     """
     body = blocks.where(is_body(blocks)).select("block_id", "doc_file", "page_idx", "text").where("text <> ''")
     prior = F.get(F.split("text", "\n"), F.col("at") - 1)
-    lines = body.select("block_id", "doc_file", "page_idx", "text", F.posexplode(F.split("text", "\n")).alias("at", "line")).select(
-        "block_id", "doc_file", "page_idx", (F.col("at") + 1).alias("line_no"), "line", (F.col("line").rlike(r"^\s*\d+\s*$") & F.coalesce(prior.rlike(rf"[{BREAK_MARKS}–—]\s*$"), F.lit(False))).alias("range_end")
-    )
+    each = body.select("block_id", "doc_file", "page_idx", "text", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    lines = cut(
+        each.select(
+            "block_id", "doc_file", "page_idx", (F.col("at") + 1).alias("line_no"), F.when(F.col("line").rlike(_page_shape()), F.col("line")).alias("line"),
+            F.when(F.col("line").rlike(r"\p{L}"), F.xxhash64(_line_key(F.col("line")))).alias("h"),
+            (F.col("line").rlike(r"^\s*\d+\s*$") & F.coalesce(prior.rlike(rf"[{BREAK_MARKS}–—]\s*$"), F.lit(False))).alias("range_end"),
+        ).where("line IS NOT NULL OR h IS NOT NULL")
+    )
     marks = blocks.where(F.col("type").isin("header", "footer")).select("doc_file", "page_idx", F.explode(F.split("text", "\n")).alias("line"))
     keys = marks.where(_line_key(F.col("line")).rlike(r"\p{L}")).select("doc_file", F.xxhash64(_line_key(F.col("line"))).alias("h")).distinct()
-    keyed = lines.where(F.col("line").rlike(r"\p{L}")).select("block_id", "doc_file", "line_no", F.xxhash64(_line_key(F.col("line"))).alias("h"))
+    keyed = lines.where("h IS NOT NULL").select("block_id", "doc_file", "line_no", "h")
     running = keyed.join(keys, ["doc_file", "h"], "left_semi").select("block_id", "doc_file", "line_no", F.lit("running").alias("kind"))
     pages = blocks.groupBy("doc_file").agg(F.max("page_idx").alias("last_page"))
-    page = page_numbers(lines, marks, pages).withColumn("kind", F.lit("page_number"))
+    page = page_numbers(lines.where("line IS NOT NULL"), marks, pages).withColumn("kind", F.lit("page_number"))
     return running.unionByName(page.select("block_id", "doc_file", "line_no", "kind")).distinct()
 
 
@@ -349,11 +358,10 @@ def _occurrences(scanned: DataFrame, misread: DataFrame, contexts: bool) -> Data
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(block, field, whole_text(field, text, furniture, after, before)[0]) for block, field, text, furniture, after, before in _read_rows(batch)]
-            said = {t: t.lower() for t in set(_TOKEN.findall("\n".join(text for _, _, text in rows))) if is_suspect(t) and t.lower() in wrong}
+            rows = [(block, field, _TOKEN.findall(whole_text(field, text, furniture, after, before)[0])) for block, field, text, furniture, after, before in _read_rows(batch)]
+            said = {t: t.lower() for t in set().union(*(tokens for _, _, tokens in rows)) if is_suspect(t) and t.lower() in wrong}
             out = set()
-            for block, field, text in rows if said else ():
-                tokens = _TOKEN.findall(text)
+            for block, field, tokens in rows:
                 if said.keys().isdisjoint(tokens):
                     continue
                 if not contexts:
