@@ -7,6 +7,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -36,7 +37,7 @@ _FOLD = {**LETTERS, **FULL_WIDTH, **LIGATURES, **dict.fromkeys(ZERO_WIDTH, ""),
 _USUAL = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\uff21-\uff3a\uff41-\uff5a\ufb00-\ufb06"
 _LOOK = "".join(LETTERS)
 _FOLDS = re.compile(rf"[{''.join(c for c in _FOLD if c not in LETTERS)}\u0300-\u036f]|[{_USUAL}]\w*[{_LOOK}]|[{_LOOK}]\w*[{_USUAL}]")
-_FOREIGN = frozenset(LETTERS)
+_FOREIGN, _FOLD_MARKS = frozenset(LETTERS), frozenset(_FOLD) | frozenset(map(chr, range(0x300, 0x370)))
 _WORD = re.compile(rf"[\ẁ-ͯ{ZERO_WIDTH}]+")
 _LATIN = re.compile(f"[{_USUAL}]")
 _TOKEN = re.compile(r"[^\W_㐀-鿿]+(?:_[^\W㐀-鿿]*)*")
@@ -46,7 +47,6 @@ _GOES_ON = re.compile(r"\s*([^\W\d_]+)(\S*)")
 _HEX = re.compile(r"[0oOQ][xX][0-9A-Fa-fOoQlIi|SsZz]{1,16}")
 _TRUE_HEX = re.compile(r"0[xX][0-9A-Fa-f]+")
 _NUMBER = re.compile(r"[0-9OoQlIi|SsZz]{2,12}")
-_MAY_MISREAD = re.compile(r"[0-9][OoQlIi|SsZz]|[OoQlIi|SsZz][0-9]|[oOQ][xX]|0[xX][0-9A-Fa-f]*[OoQlIi|SsZz]")
 _CELL = r"(?i:</?(?:table|thead|tbody|tr|td|th)\b[^>]*>)"
 _CELL_TAG, _LINE_TAG, _TAG = re.compile(_CELL), re.compile(r"(?i)<br\s*/?>"), re.compile(r"(<[^>]*>)")
 
@@ -60,7 +60,7 @@ def fold(text: str) -> tuple[str, list[int] | None]:
     Only words that hold a Latin letter have letters of other scripts folded, so words wholly in another script stay as they
     are. The places are None where nothing changed; else there is one more, for the end.
     """
-    if text.isascii() or not _FOLDS.search(text):
+    if text.isascii() or _FOLD_MARKS.isdisjoint(text) or not _FOLDS.search(text):
         return text, None
     out: list[str] = []
     places: list[int] = []
@@ -178,28 +178,28 @@ def whole_text(field: str, text: str, furniture: list[int] | None, after: str |
 def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a first reading tells, by ``kind``: ``word`` rows count the words (``n``; those broken at line ends are left out),
     ``number`` rows are blocks with a misread number, ``hyphen`` rows broken words (``word``, ``mark``, ``tail``)."""
-    judged: dict[str, str | None] = {}  # tokens in lower case, None for what is no word
+    judged: dict[str, str | None] = {}  # tokens in lower case, None for what is no word, '' for misread numbers
     for batch in batches:
         rows: set[tuple] = set()
         texts, cut_up = [], []
         for block, field, text, furniture, after, before in _read_rows(batch):
             whole, broken = whole_text(field, text, furniture, after, before)
-            texts.append(whole)
+            texts.append((block, field, _TOKEN.findall(whole)))
             for head, mark, tail in broken:
                 rows.add(("hyphen", block, field, fold(head)[0].lower(), mark, fold(tail)[0].lower(), 0))
                 cut_up.append(fold(head + tail)[0])
-            if _MAY_MISREAD.search(whole) and any(map(number_misread, _TOKEN.findall(whole))):
-                rows.add(("number", block, field, None, None, None, 0))
-        tokens = Counter(_TOKEN.findall("\n".join(texts)))
-        tokens.subtract(cut_up)
-        found: Counter = Counter()
+        counted = Counter(chain.from_iterable(tokens for _, _, tokens in texts))
         if len(judged) > 500_000:
             judged.clear()
-        for token, n in tokens.items():
-            if token not in judged:
-                judged[token] = token.lower() if is_suspect(token) and not number_misread(token) else None
-            if n > 0 and judged[token]:
-                found[judged[token]] += n
+        for token in counted.keys() - judged.keys():
+            judged[token] = "" if number_misread(token) else token.lower() if is_suspect(token) else None
+        numbers = {t for t in counted if judged[t] == ""}
+        rows.update(("number", block, field, None, None, None, 0) for block, field, tokens in texts if not numbers.isdisjoint(tokens))
+        counted.subtract(cut_up)
+        found: Counter = Counter()
+        for token, n in counted.items():
+            if n > 0 and (word := judged[token]):
+                found[word] += n
         cols = list(zip(*rows, *(("word", None, None, w, None, None, n) for w, n in found.items()))) or [[]] * 7
         kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["kind", "block_id", "field", "word", "mark", "tail", "n"])
@@ -407,7 +407,7 @@ def _reflow(lines: list[str]) -> str:
         if not line:
             if out and out[-1]:
                 out.append("")
-        elif out and out[-1] and not re.search(r"[.!?:;。！？：；]$", out[-1]) and not re.match(r"[-*•]\s|\d+[.)]\s", line):
+        elif out and out[-1] and not re.search(r"[.!?:。！？：]$", out[-1]) and not re.match(r"[-*•]\s|\d+[.)]\s", line):
             out[-1] += ("" if re.search(r"[㐀-鿿，、]$", out[-1]) else " ") + line
         else:
             out.append(line)
