@@ -231,7 +231,7 @@ def _roman(text: Column) -> Column:
 def _page_shape() -> str:
     """Pattern of a line that gives only a number: 1 what names it a page, 2 the number, 3 the number of pages, 4 the same as 1."""
     words = "|".join([rf"(?:{'|'.join(PAGE_WORDS)})\.?", rf"(?:{'|'.join(PAGE_LETTERS)})\."])
-    return rf"(?i)^[\W_]*(?:({words})\s*)?(\d{{1,9}}|{_ROMAN})\s*(?:(?:{'|'.join(PAGE_TOTALS)})\s*(\d{{1,9}}|{_ROMAN}))?\s*(页?)[\W_]*$"
+    return rf"(?iU)^[\W_]*(?:({words})\s*)?([0-9]{{1,9}}|{_ROMAN})\s*(?:(?:{'|'.join(PAGE_TOTALS)})\s*([0-9]{{1,9}}|{_ROMAN}))?\s*(页?)[\W_]*$"
 
 
 def page_numbers(lines: DataFrame, marks: DataFrame, pages: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def page_numbers(lines: DataFrame, marks: DataFrame, pages: DataFrame) -> DataFr
     number = lambda c: F.when(c.rlike(r"^\d+$"), c.cast("long")).when(c != "", _roman(c).cast("long"))
     found = lines.select(
         "block_id", "doc_file", "page_idx", "line_no", "range_end", number(part(2)).alias("n"), number(part(3)).alias("of"), (~part(2).rlike(r"^\d")).alias("roman"),
-        ((part(1) != "") | (part(4) != "")).alias("named"), (~F.col("line").rlike(r"^\s*\w+\s*$")).alias("dressed"),
+        ((part(1) != "") | (part(4) != "")).alias("named"), (~F.col("line").rlike(r"(?U)^\s*\w+\s*$")).alias("dressed"),
     ).where("n > 0 AND (of IS NULL OR n <= of)").where("NOT (roman AND named AND NOT dressed)")
     found = cut(found)
     in_marks = marks.where("page_idx IS NOT NULL").select("doc_file", "page_idx", F.lit(False).alias("roman"), F.explode(F.regexp_extract_all("line", F.lit(r"(\d{1,9})"), 1).cast("array<bigint>")).alias("n"))

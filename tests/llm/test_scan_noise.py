@@ -147,7 +147,7 @@ def test_page_numbers_by_the_document_s_offset(spark):
     feet = [{"type": "footer", "text": f"Rev D | {p + 109}", "page": p, "doc": "a"} for p in range(4)]
     rows = [
         {"text": "114\nthe copy", "page": 5, "doc": "a"}, {"text": "the copy\n5", "page": 5, "doc": "a"}, {"text": "~~ 112 " + "~" * 80, "page": 3, "doc": "a"}, {"text": "Page iv", "page": 3, "doc": "b"},
-        {"text": "- ii -", "page": 1, "doc": "c"}, {"text": "- iii -", "page": 2, "doc": "c"}, {"text": "MIX", "page": 2, "doc": "c"}, {"text": "six\n第 5 页", "page": 2, "doc": "d"},
+        {"text": "- ii -", "page": 1, "doc": "c"}, {"text": "- iii -", "page": 2, "doc": "c"}, {"text": "MIX", "page": 2, "doc": "c"}, {"text": "six\n第 5 页", "page": 2, "doc": "d"}, {"text": "版本 12\n在 67 个周期内", "page": 2, "doc": "d"},
     ]
     got = {r.block_id for r in sn.scan_noise(blocks(spark, rows + feet)).collect()}
     assert got == {0, 2, 3, 4, 5, 7}
