@@ -152,6 +152,10 @@ def breadcrumb_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.numbered(rows, ["source", "ord", "piece"], "chunk_idx").select("chunk_idx", "kind", "section_id", "ord", "piece", "breadcrumb", "embed_text")
 
 
+def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return breadcrumb_chunks(spark, sf_dir).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 def markdown_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk.markdown_units(_documents(spark, sf_dir).dropDuplicates(["doc_id"]), "doc_id", "text")
 
@@ -270,6 +274,22 @@ def concept_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy("query", "kind").agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("last_place"))
 
 
+def concept_search_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words looked up in the names and values of enums and in the captions, headers and cells of tables, as the blocks give them."""
+    blocks = table(spark, sf_dir, "acme_content_list")
+    enums = extract.build_kb(blocks, WIDE, ("enums",))["enums"]
+    tables = extract.build_kb(blocks, wanted=("tables",))["tables"]
+    key = F.concat_ws("#", "doc_file", "ord").alias("key")
+    kinds = {
+        "enums": (enums.select("module", key, tx.enum_text(F.col("name"), F.col("values")).alias("hay")), F.lower("hay")),
+        "tables": (tables.select("module", key, F.concat_ws(" ", "caption", tx.table_text(F.col("header"), F.col("rows"))).alias("hay")), F.lower("hay")),
+    }
+    words = table(spark, sf_dir, "knowledge").where("name IS NOT NULL").select(F.lower(F.regexp_extract("name", "_([A-Z]{4,})", 1)).alias("query")).where("query <> ''").distinct()
+    asked = cut(words.select(F.xxhash64("query").alias("qid"), "query", F.lit("").alias("module")))
+    hits = search.search_concepts(kinds, asked, "key", capped=()).join(asked.select("qid", "query"), "qid")
+    return hits.select("query", "kind", "key", "place")
+
+
 # -- quality ---------------------------------------------------------------------------------------------------------
 
 
@@ -387,6 +407,6 @@ QUERIES = {
         clean_text, stem_dictionary, tokenize_terms, section_slug, module_from_path, register_tokens, register_texts, html_rows, table_classes, anchors, kb_sections_built, kb_registers_built,
         kb_enums_built, kb_tables_built, kb_figures_built, kb_formulas_built, kb_algorithms_built, event_forward_fill, adapter_blocks, split_long, breadcrumb_chunks, markdown_units, uncovered_units,
         doc_freq_idf, bm25_topk, dense_topk, rrf_fusion, rrf_bonus, relative_fusion, hybrid_module_filter, register_search, register_search_module, concept_search, audit_counts,
-        unknown_headers_top20, validate_duplicates, validate_orphans, coverage, compare_registers, compare_summary, question_errors, hit_at_k, search_prose, unanchored_questions, collection_counts, validation_report,
+        unknown_headers_top20, validate_duplicates, validate_orphans, coverage, compare_registers, compare_summary, question_errors, hit_at_k, search_prose, chunk_counts, concept_search_built, unanchored_questions, collection_counts, validation_report,
     )
 }

@@ -375,3 +375,7 @@ FROM (VALUES ('registers'), ('enums'), ('figures'), ('formulas'), ('algorithms')
 _VALIDATED = """SELECT 'error' AS level, 'duplicate ' || kind AS check, count(*) AS n FROM ({duplicates}) GROUP BY kind
 UNION ALL SELECT 'error', 'orphans in ' || collection, n_orphans FROM ({orphans}) UNION ALL SELECT 'warning', 'low ' || metric, of - n FROM ({coverage}) WHERE low"""
 SQL["validation_report"] = _VALIDATED.format(duplicates=SQL["validate_duplicates"], orphans=SQL["validate_orphans"], coverage=SQL["coverage"]).replace("AS check,", 'AS "check",')
+SQL["chunk_counts"] = f"SELECT kind, count(*) AS n FROM ({SQL['breadcrumb_chunks']}) GROUP BY kind"
+SQL["concept_search_built"] = f"""WITH words AS (SELECT DISTINCT lower(regexp_extract(name, '_([A-Z]{{4,}})', 1)) AS query FROM knowledge WHERE regexp_matches(name, '_([A-Z]{{4,}})')),
+rows AS (SELECT 'enums' AS kind, doc_file || '#' || ord AS key, lower(concat_ws(' ', name, "values")) AS hay FROM ({SQL['kb_enums_built']}) UNION ALL SELECT 'tables', doc_file || '#' || ord, lower(concat_ws(' ', caption, text)) FROM ({SQL['kb_tables_built']}))
+SELECT query, kind, key, row_number() OVER (PARTITION BY query, kind ORDER BY key) AS place FROM rows JOIN words ON contains(hay, query)"""

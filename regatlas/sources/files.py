@@ -64,3 +64,22 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).where(F.col("value").rlike(r"\S"))
     parsed = lines.select("value", F.from_json("value", f"{GOLD}, broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}).alias("q"))
     return parsed.select("q.*")
+
+
+def write_index(folder: str, chunks: DataFrame, vectors: DataFrame | None = None, model: str = "") -> None:
+    """Write ``chunks(chunk_idx, ...)``, ``vectors(chunk_idx, embedding)`` of an encoder, if there is one, and what they are made of."""
+    chunks.write.mode("overwrite").parquet(f"{folder}/chunks")
+    n = chunks.sparkSession.read.parquet(f"{folder}/chunks").agg(F.count(F.lit(1)).alias("n_chunks"))
+    if vectors is not None:
+        vectors.write.mode("overwrite").parquet(f"{folder}/vectors")
+        made = chunks.sparkSession.read.parquet(f"{folder}/vectors").agg(F.count(F.lit(1)).alias("n_vectors"), F.max(F.size("embedding")).alias("dimensions"))
+    else:
+        made = n.select(F.lit(0).cast("long").alias("n_vectors"), F.lit(None).cast("int").alias("dimensions"))
+    n.crossJoin(made).withColumn("model", F.lit(model)).write.mode("overwrite").parquet(f"{folder}/meta")  # one row each
+
+
+def read_index(spark: SparkSession, folder: str, model: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Chunks and vectors; no vectors, so that search falls back to BM25, where there are none for each chunk or of another ``model``."""
+    meta = spark.read.parquet(f"{folder}/meta").first()
+    fits = meta.n_vectors and meta.n_vectors == meta.n_chunks and model in (None, meta.model)
+    return spark.read.parquet(f"{folder}/chunks"), spark.read.parquet(f"{folder}/vectors") if fits else None

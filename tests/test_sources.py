@@ -48,3 +48,13 @@ def test_arrivals(spark, folder):
     (folder / "in" / "two_content_list.json").write_text(json.dumps(STREAM))
     run()
     assert {r.module for r in spark.read.parquet(str(folder / "kb" / "sections")).collect()} == {"DEMO", "TWO"}
+
+
+def test_index_falls_back_to_chunks_alone(spark, tmp_path):
+    chunks = spark.createDataFrame([(0, "a"), (1, "b")], "chunk_idx long, embed_text string")
+    vectors = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "chunk_idx long, embedding array<float>")
+    for name, part, whole in (("none", None, False), ("part", vectors.limit(1), False), ("full", vectors, True)):
+        files.write_index(str(tmp_path / name), chunks, part, "m")
+        got, held = files.read_index(spark, str(tmp_path / name))
+        assert got.count() == 2 and (held is not None) == whole
+    assert files.read_index(spark, str(tmp_path / "full"), "other")[1] is None and files.read_index(spark, str(tmp_path / "full"), "m")[1].count() == 2
