@@ -13,7 +13,7 @@ from ..functions.lookalike import blank, plain_identifier
 from ..session import cut, parallelism
 
 #: Rows in the rolling window, the mask a rolling hash must meet (on average every MASK + 1 rows), and the rows after which a chunk is cut anyway.
-WINDOW, MASK, MOST = 2, 3, 1024
+WINDOW, MASK, MOST = 2, 1, 1024
 _MIX, _LANES = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
